@@ -27,6 +27,8 @@ from tilewright.llm.common import configure
 GRAMS, HASH_BITS, ALPHA = (3, 4, 5), 18, 1.0
 #: Labelled rows that a fit reads at most, and features with a weight.
 SAMPLE, FEATURES = 6000, 8_000
+#: Rows of the sample that are widened at a time.
+BLOCK = 500
 #: A score from which a text is toxic.
 THRESHOLD = 0.3
 _MULTIPLIER = np.uint32(2654435761)
@@ -70,30 +72,42 @@ def fit(texts: list[str | None], toxic: np.ndarray, shrink: float = 1.0, rounds:
     if not len(y) or y.min() == y.max():
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
         return Model(np.zeros(size, dtype=np.float32), float(np.log(share / (1 - share))))
-    rows = [features(t).astype(np.int32) for t in texts]
-    column, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    has_toxic = np.bincount(column, weights=y[row], minlength=size)
-    has_clean = np.bincount(column, minlength=size) - has_toxic
-    p, q = (has_toxic + ALPHA) / (y.sum() + 2 * ALPHA), (has_clean + ALPHA) / ((1 - y).sum() + 2 * ALPHA)
+    has = np.zeros((2, size))
+    rows = []
+    for t, label in zip(texts, (y > 0).astype(int)):
+        rows.append(features(t).astype(np.int32))
+        has[label, rows[-1]] += 1
+    p, q = (has[1] + ALPHA) / (y.sum() + 2 * ALPHA), (has[0] + ALPHA) / ((1 - y).sum() + 2 * ALPHA)
     ratio = np.log(p / q)
     # Features that tell most: the log-count ratio by the spread that chance gives it.
-    spread = np.sqrt(1 / (has_toxic + ALPHA) + 1 / (has_clean + ALPHA))
+    spread = np.sqrt(1 / (has[1] + ALPHA) + 1 / (has[0] + ALPHA))
     chosen = np.argsort(-np.abs(ratio) / spread, kind="stable")[:FEATURES]
     name = np.full(size, -1, dtype=np.int32)
     name[chosen] = np.arange(len(chosen))
-    keep = name[column] >= 0
-    column, row, scale = name[column[keep]], row[keep], ratio[chosen]
-    # Nesterov's method on the mean loss, with each step bounded by the largest row.
-    norm = np.bincount(row, weights=scale[column] ** 2, minlength=len(y))
-    step = 1.0 / (0.25 * (norm.mean() * 4 + 1) + shrink / len(y))
+    # One byte for each row and chosen feature; blocks of rows are widened for the products.
+    present = np.zeros((len(rows), len(chosen)), dtype=np.uint8)
+    for i, r in enumerate(rows):
+        own = name[r]
+        present[i, own[own >= 0]] = 1
+    del rows, has
+    scale = ratio[chosen].astype(np.float32)
+    blocks = [slice(i, i + BLOCK) for i in range(0, len(y), BLOCK)]
+    # Nesterov's method on the mean loss, with a step from the mean squared length of a row.
+    norm = np.concatenate([present[k].astype(np.float32) @ scale**2 for k in blocks])
+    step = 1.0 / (0.25 * (float(norm.mean()) * 4 + 1) + shrink / len(y))
     w = momentum = np.zeros(len(chosen))
     b = b_momentum = float(np.log(y.mean() / (1 - y.mean())))
-    scaled = scale[column]
     for k in range(rounds):
-        z = b_momentum + np.bincount(row, weights=scaled * momentum[column], minlength=len(y))
-        error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(y)
-        gradient = np.bincount(column, weights=scaled * error[row], minlength=len(chosen)) + shrink / len(y) * momentum
-        next_w, next_b = momentum - step * gradient, b_momentum - step * error.sum()
+        scaled = (scale * momentum).astype(np.float32)
+        gradient, total = np.zeros(len(chosen)), 0.0
+        for rows_of in blocks:
+            x = present[rows_of].astype(np.float32)
+            z = b_momentum + (x @ scaled).astype(np.float64)
+            error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y[rows_of]) / len(y)
+            gradient += error.astype(np.float32) @ x
+            total += error.sum()
+        gradient = scale * gradient + shrink / len(y) * momentum
+        next_w, next_b = momentum - step * gradient, b_momentum - step * total
         speed = k / (k + 3)
         momentum, b_momentum = next_w + speed * (next_w - w), next_b + speed * (next_b - b)
         w, b = next_w, next_b
