@@ -32,7 +32,7 @@ BITMAP_BITS = 24
 #: First bits of a hash's places in the bitmap.
 PROBES = (40, 20, 0)
 #: Words whose hashes a worker remembers.
-MEMORY = 500_000
+MEMORY = 150_000
 _FACTOR = 0x9E3779B97F4A7C15
 _SEED = 10
 
@@ -111,6 +111,7 @@ def _seed_rows(table_: DataFrame, id_col: str, text_col: str, bitmap: bytes | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if bitmap is None else np.frombuffer(bitmap, dtype=np.uint8)
+        _known.clear()
         for b in batches:
             # All texts of a batch at once; windows that reach into the next text are dropped.
             each = [token_hashes(t) for t in b.column(2).to_pylist()]
@@ -143,6 +144,7 @@ def _seed_rows(table_: DataFrame, id_col: str, text_col: str, bitmap: bytes | No
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(keep), b.column(1).take(keep), *lists], names=["id", "th", "tokens", "places", "hashes"]
             )
+        _known.clear()  # workers are used again by other stages
 
     slim = table_.select(
         F.col(id_col).alias("id"),

@@ -31,7 +31,7 @@ MARK = "▁"
 #: What a character that is no piece loses against the lowest score (fixed value).
 PENALTY = 10.0
 #: Words that a worker remembers, and the longest that it remembers.
-MEMORY, LONGEST = 250_000, 64
+MEMORY, LONGEST = 150_000, 64
 LOW = float("-inf")
 
 
@@ -113,6 +113,10 @@ class UnigramCounter:
         # Scores are added word by word, so that equal texts have equal sums.
         return sum([f[0] for f in found]), sum([f[1] for f in found])
 
+    def forget(self) -> None:
+        """Free the memory of words: workers are used again by other stages."""
+        self.known, self.old = {}, {}
+
     def _remembered(self, word: str) -> tuple[float, int]:
         """``best`` from memory. Two generations: what was used of late survives a full memory."""
         found = self.old.get(word)
@@ -143,12 +147,14 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(model_file)
+        c.forget()
         for b in batches:
             scored = [c.count(x) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([n for _, n in scored], pa.int64()), pa.array([s for s, _ in scored], pa.float64())],
                 names=["id", "n_tokens", "score"],
             )
+        c.forget()
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return slim.mapInArrow(run, f"id {kind}, n_tokens long, score double").withColumnRenamed("id", id_col)
