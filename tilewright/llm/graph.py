@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import cut
 
+#: Where the tables of a round are kept until it ends.
+KEPT = StorageLevel.DISK_ONLY
+
 
 def connected_components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """``node`` and ``root`` (the least node of its component) for every node of ``edges`` (a, b).
@@ -14,13 +18,14 @@ def connected_components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     Minimum labels spread over the edges, and each round shortens the paths by
     following labels of labels, so long chains need logarithmically many rounds.
     Rounds go on until nothing changes; ``rounds`` only guards against a fault, and
-    reaching it raises an error. Lineage is cut each round in the shared folder.
+    reaching it raises an error. Each round ends with a checkpoint in the shared
+    folder; within a round, blocks are kept on disk with their lineage, so that
+    those of a lost executor are computed anew.
     """
-    both = cut(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    )
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
-    if labels.isEmpty():
+    ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = cut(edges.where("a <> b").select(ends.alias("e")).select("e.a", "e.b").distinct())
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root"))
+    if both.isEmpty():
         return labels
     for _ in range(rounds):
         spread = (
@@ -28,12 +33,14 @@ def connected_components(edges: DataFrame, rounds: int = 64) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("root").alias("near"))
         )
-        nearer = cut(labels.join(spread, "node").select("node", "root", F.least("root", "near").alias("new")))
+        nearer = labels.join(spread, "node").select("node", "root", F.least("root", "near").alias("new")).persist(KEPT)
         # The old root takes over the best label that any of its followers found.
         hook = nearer.groupBy(F.col("root").alias("node")).agg(F.min("new").alias("hook"))
-        hooked = cut(nearer.join(hook, "node", "left").select("node", "root", F.least("new", "hook").alias("new")))
+        hooked = nearer.join(hook, "node", "left").select("node", "root", F.least("new", "hook").alias("new")).persist(KEPT)
         jump = hooked.select(F.col("node").alias("new"), F.col("new").alias("far"))
         after = cut(hooked.join(jump, "new", "left").select("node", "root", F.least("new", "far").alias("new")))
+        hooked.unpersist()
+        nearer.unpersist()
         changed = after.where("root <> new").limit(1).count()
         labels = after.select("node", F.col("new").alias("root"))
         if not changed:

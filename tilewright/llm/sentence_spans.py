@@ -129,7 +129,7 @@ def removals(
         ~(F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("th") == F.col("origin.th")) & (F.col("first") == F.col("origin.first")))
     )
     # A text's runs are as many as its sentences at most.
-    return cut(later.groupBy("id", "th").agg(F.collect_set(F.struct("first", "last")).alias("spans")))
+    return later.groupBy("id", "th").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def substring_dedup(

@@ -268,16 +268,13 @@ def simhash_components(
     gives an empty table; other columns are not read.
     """
     prints = table(fingerprints(docs, id_col, text_col), "simhash-fp")
-    smallest = table(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    edges = cut(links(smallest, threshold).where("a <> b"))
-    roots = connected_components(edges)
+    smallest = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = connected_components(links(smallest, threshold).where("a <> b")).withColumnRenamed("node", "fp")
     # Only fingerprints with links are in roots; the others are their own component.
-    named = cut(smallest.join(roots.withColumnRenamed("node", "fp"), "fp", "left"))
-    linked = named.where("root is not null")
-    least = cut(linked.groupBy("root").agg(F.min("least").alias("component")))
-    found = cut(linked.select("fp", "root").join(least, "root").select("fp", "component"))
-    alone = named.where("root is null").select("fp", F.col("least").alias("component"))
-    of = cut(found.unionByName(alone))
+    # Cut, so that the next joins can split a large component's or a frequent text's rows.
+    least = cut(smallest.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component")))
+    found = roots.join(least, "root").select("fp", "component")
+    of = cut(smallest.join(found, "fp", "left").select("fp", F.coalesce("component", "least").alias("component")))
     return prints.join(of, "fp", "left").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
