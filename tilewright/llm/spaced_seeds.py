@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import configure, cut, table
+from tilewright.llm.common import configure, table
 
 #: Masks over consecutive tokens: # counts, - is ignored (fixed values).
 MASKS = ("########", "###-#-###-##", "##-###--##-#-##")
@@ -187,14 +187,14 @@ def matches(
     found = hits.select("id", "th", F.explode(F.arrays_zip("places", "hashes")).alias("s")).select(
         "id", "th", F.col("s.places").alias("place"), F.col("s.hashes").alias("h")
     )
-    # Hits on the same diagonal of a text and an item are one alignment.
+    # Hits on the same diagonal of a text and an item are one alignment. From here to the
+    # result all is computed from the two written tables, which outlive lost executors.
     lines = (
         found.join(by_hash, "h")
         .select("id", "th", "item", "item_th", (F.col("item_place") - F.col("place")).alias("shift"))
         .groupBy("id", "th", "item", "item_th")
         .agg(F.collect_set("shift").alias("shifts"))
     )
-    lines = cut(lines)
     one = hits.groupBy("id", "th").agg(F.first("tokens").alias("tokens"))
     of_item = tests.groupBy("item", "th").agg(F.first("tokens").alias("item_tokens")).withColumnRenamed("th", "item_th")
     aligned = lines.alias("l").join(
@@ -212,7 +212,7 @@ def matches(
         )
 
     verified = aligned.select("id", "th", "item", longest("tokens", "item_tokens", "shifts").alias("tokens"))
-    return cut(verified.where("tokens > 0"))
+    return verified.where("tokens > 0")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -237,7 +237,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     per = found.groupBy("id", "th").agg(
         F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("tokens").alias("overlap_tokens")
     )
-    per = cut(per).alias("per")
+    per = per.alias("per")
     keyed = docs.select(
         F.col(id_col).alias("__id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("__th")
     ).alias("docs")
