@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tilewright.llm import (
     bit_sliced,
     host_reputation,
+    oracles,
     piece_bpe,
     sentence_spans,
     sharding,
@@ -26,6 +27,9 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Rules of op 1 and what they say (fixed values).
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
+#: Shards of op 3 and the seed of their shuffle.
+SHARDS, SHARD_SEED = 24, 2024
+
 
 def op1_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page urls."""
@@ -40,7 +44,7 @@ def op2_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of all documents."""
-    return sharding.feistel_shards(read(spark, sf_dir, "documents"), shards=24)
+    return sharding.feistel_shards(read(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
 
 
 def op4_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: Whole-table SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op1_host_reputation": oracles.host_reputation_sql(URL_RULES),
+    "op3_feistel_shards": oracles.feistel_shards_sql(SHARDS, SHARD_SEED),
     "op2_bit_sliced_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
