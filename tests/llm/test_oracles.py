@@ -1,9 +1,11 @@
 """The SQL of the corpus queries gives the queries' rows."""
 
+import random
+
 import duckdb
 import pytest
 
-from tilewright.llm import host_reputation, oracles, queries, sharding
+from tilewright.llm import host_reputation, oracles, queries, sentence_spans, sharding
 from tilewright.llm.common import read
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +56,19 @@ def test_sql_of_reputation_on_hard_rows(spark):
         assert len(same(got, con, oracles.host_reputation_sql(queries.URL_RULES))) == 181
 
 
+def test_sql_of_sentence_spans_on_hard_rows(spark):
+    rng = random.Random(4)
+    pool = [" ".join(rng.choice(["lor", "em", "é日", "a"]) for _ in range(rng.choice([1, 3, 8, 14, 15, 25, 40]))) for _ in range(12)]
+    ends = [". ", "!\n", "。", "?) \u3000", "\n\n", ".x ", " \x1f", ".\x85", "...\"' "]
+    rows = [(i, "".join(rng.choice(pool) + rng.choice(ends) for _ in range(rng.randrange(9)))) for i in range(120)]
+    rows += [(200, None), (201, ""), (202, " \n "), (None, rows[7][1]), rows[3], rows[3], (203, (pool[0] + ". ") * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    put(con, "documents", docs)
+    got = sentence_spans.substring_dedup(docs)
+    assert sum(r[-1] > 0 for r in same(got, con, oracles.sentence_spans_sql())) > 10
+
+
 def test_tables_of_the_sql_are_whole(spark):
     for name in ("documents", "pages"):
         n = read(spark, SF, name).count()

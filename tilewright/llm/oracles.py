@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from tilewright.llm import host_reputation, sharding
+from tilewright.llm import host_reputation, sentence_spans, sharding
 
 
 def _quoted(text: str) -> str:
@@ -138,3 +138,53 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(passed % {shards} AS INTEGE
 FROM numbered JOIN walk USING (row), grid
 WHERE passed < n
 """
+
+
+def sentence_spans_sql(min_words: int = sentence_spans.MIN_WORDS, long_words: int = sentence_spans.LONG_WORDS) -> str:
+    """All texts of ``documents`` without repeated runs of sentences; runs are compared by their sentences, not by hashes.
+
+    Runs take at most ``min_words`` sentences, as each has a word. Ids are taken as unique but for repeated rows.
+    """
+    white = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+    end = rf"(?:[.!?。！？]+[\"'')\]]*{white}+|[。！？]+|\n+){white}*"
+    ahead = max(min_words, sentence_spans.MIN_SENTENCES)
+    return f"""
+WITH texts AS (
+  SELECT DISTINCT doc_id, text FROM documents WHERE text <> ''
+), parts AS (
+  SELECT doc_id, text, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos
+  FROM (SELECT *, regexp_extract_all(text, '(?s:.*?){end}|(?s:.+)') AS parts FROM texts)
+), plain AS (
+  SELECT doc_id, text, pos, regexp_replace(part, '^{white}+|{white}+$', '', 'g') AS plain FROM parts
+), kept AS (
+  SELECT *, length(plain) - length(replace(plain, ' ', '')) + 1 AS size,
+         row_number() OVER (PARTITION BY doc_id, text ORDER BY pos) AS i
+  FROM plain WHERE plain <> ''
+), ahead AS (
+  SELECT doc_id, text, i, pos, size,
+         list(size) OVER w AS sizes, list(plain) OVER w AS plains, list(pos) OVER w AS places
+  FROM kept
+  WINDOW w AS (PARTITION BY doc_id, text ORDER BY i ROWS BETWEEN CURRENT ROW AND {ahead - 1} FOLLOWING)
+), lengths AS (
+  SELECT *, CASE WHEN size >= {long_words} THEN 1
+                 ELSE greatest({sentence_spans.MIN_SENTENCES},
+                               list_position(list_transform(range(1, len(sizes) + 1),
+                                 lambda k: list_sum(list_slice(sizes, 1, k)) >= {min_words}), true)) END AS n,
+         list_sum(sizes) AS words
+  FROM ahead
+), runs AS (
+  SELECT doc_id, text, i, pos AS first, places[n] AS last, list_slice(plains, 1, n) AS run
+  FROM lengths WHERE n <= len(sizes) AND (size >= {long_words} OR words >= {min_words})
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS FIRST, text, i) AS place FROM runs
+), removed AS (
+  SELECT DISTINCT doc_id, text, unnest(range(first, last + 1)) AS pos FROM placed WHERE place > 1
+), cleaned AS (
+  SELECT p.doc_id, p.text AS old, coalesce(string_agg(p.part, '' ORDER BY p.pos) FILTER (r.pos IS NULL), '') AS text,
+         count(r.pos) AS n_removed
+  FROM parts p LEFT JOIN removed r ON p.doc_id IS NOT DISTINCT FROM r.doc_id AND p.text = r.text AND p.pos = r.pos
+  GROUP BY p.doc_id, p.text
+)
+SELECT d.doc_id, coalesce(c.text, d.text) AS text, CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed
+FROM documents d LEFT JOIN cleaned c ON d.doc_id IS NOT DISTINCT FROM c.doc_id AND d.text = c.old
+"""

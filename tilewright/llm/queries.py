@@ -110,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_host_reputation": oracles.host_reputation_sql(URL_RULES),
     "op3_feistel_shards": oracles.feistel_shards_sql(SHARDS, SHARD_SEED),
+    "op9_sentence_spans": oracles.sentence_spans_sql(),
     "op2_bit_sliced_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
