@@ -93,7 +93,7 @@ def label_polygons(lines: DataFrame, line: str = "line", strict: bool = True) ->
     coords = F.transform(F.slice("__t", 2, F.size("__t") - 1), lambda t: t.cast("double"))
     rows = rows.withColumn("class_id", F.get("__t", F.lit(0)).cast("double").cast("int")).withColumn("__c", coords)
     if strict:
-        rows = rows.where(F.size("__c") % 2 == 0)
+        rows = rows.where(F.size("__t") % 2 == 1)
 
     def pixel(value: Column, extent: Column) -> Column:
         if not strict:
@@ -107,7 +107,8 @@ def label_polygons(lines: DataFrame, line: str = "line", strict: bool = True) ->
             pixel(F.get(F.col("__c"), 2 * i), F.col("w")).alias("x"), pixel(F.get(F.col("__c"), 2 * i + 1), F.col("h")).alias("y")
         ),
     )
-    return rows.withColumn("points", points).where(F.size("points") >= 3).drop("__t", "__c", line)
+    # Seven tokens make three points; a filter on the points would be pushed down and compute them twice.
+    return rows.withColumn("points", points).drop("__t", "__c", line)
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
