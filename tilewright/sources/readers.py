@@ -61,7 +61,8 @@ def svg_walls(drawings: DataFrame, svg: str = "svg", least: float = 4.0) -> Data
     """
     named = " or ".join(f'@id="{g}"' for g in WALL_GROUPS)
     paths = drawings.withColumn("points", F.expr(f"xpath({svg}, '//g[{named}]/polygon[1]/@points')"))
-    rows = paths.select("*", F.posexplode("points").alias("wall", "text")).drop("points", svg)
+    # Outer, as filters that Spark infers from a plain posexplode would parse each drawing again.
+    rows = paths.select("*", F.posexplode_outer("points").alias("wall", "text")).drop("points", svg).where("text is not null")
     pairs = F.filter(F.transform(F.split(F.trim("text"), r"\s+"), lambda t: F.split(t, ",")), lambda p: F.size(p) == 2)
     polygon = F.transform(pairs, lambda p: point(p[0].cast("double"), p[1].cast("double")))
     rows = rows.withColumn("polygon", polygon).drop("text").where(F.size("polygon") >= 3)
