@@ -257,7 +257,7 @@ def links(distinct: DataFrame, threshold: int = 2) -> DataFrame:
 
 
 def simhash_components(
-    docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", more: DataFrame | None = None
 ) -> DataFrame:
     """Fingerprint and component of every row.
 
@@ -265,11 +265,14 @@ def simhash_components(
     the smallest id that links reach. Null and empty texts and texts without words
     have fingerprint zero and link like any other. Null ids are no component's
     smallest id unless it has no other. Repeated rows stay repeated; an empty table
-    gives an empty table; other columns are not read.
+    gives an empty table; other columns are not read. ``more`` has further links
+    (``a`` and ``b``, fingerprints as signed longs), such as those of ``near_copies``.
     """
     prints = table(fingerprints(docs, id_col, text_col), "simhash-fp")
     smallest = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = connected_components(links(smallest, threshold).where("a <> b")).withColumnRenamed("node", "fp")
+    edges = links(smallest, threshold).where("a <> b")
+    edges = edges if more is None else edges.unionByName(more.select("a", "b"))
+    roots = connected_components(edges).withColumnRenamed("node", "fp")
     # Only fingerprints with links are in roots; the others are their own component.
     # Cut, so that the next joins can split a large component's or a frequent text's rows.
     least = cut(smallest.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component")))
