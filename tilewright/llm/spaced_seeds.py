@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.common import configure, table
 
-#: Masks over consecutive tokens: # counts, - is ignored (fixed values).
-MASKS = ("########", "###-#-###-##", "##-###--##-#-##")
+#: Masks over consecutive tokens: # counts, - is ignored (fixed values). Together they hit every
+#: overlap of 13 to 25 tokens and every whole item of 8 to 12 of which a fifth, rounded down, is
+#: substituted; a longer overlap holds one of 13 to 25 tokens with no larger share.
+MASKS = ("#####", "###-##", "##-#--##")
+#: Items of fewer tokens match nothing.
+MIN_ITEM = 8
 #: A verified overlap has so many aligned tokens at least, of which this share is equal.
 MIN_TOKENS, MIN_SHARE = 13, 0.8
 #: Bits of the bitmap's index; the bitmap has 2 MB.
@@ -115,6 +119,8 @@ def _seed_rows(table_: DataFrame, id_col: str, text_col: str, bitmap: bytes | No
         for b in batches:
             # All texts of a batch at once; windows that reach into the next text are dropped.
             each = [token_hashes(t) for t in b.column(2).to_pylist()]
+            if bits is None:
+                each = [e if len(e) >= MIN_ITEM else e[:0] for e in each]
             ends = np.cumsum([len(e) for e in each])
             if not len(ends) or not ends[-1]:
                 continue
@@ -218,8 +224,9 @@ def matches(
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has no verified overlap with an item.
 
-    Null, empty and very short texts and items (less than the shortest mask's 8 tokens)
-    overlap nothing. Repeated rows share their fate.
+    Null, empty and very short texts and items (less than MIN_ITEM tokens)
+    overlap nothing. Other values of ``min_tokens`` and ``min_share`` than the given ones
+    are verified, but the masks may not hit all their overlaps. Repeated rows share their fate.
     An empty table on either side keeps all rows.
     """
     bad = matches(docs, items, id_col, text_col, **options).select("id", "th").distinct().alias("bad")
