@@ -41,8 +41,14 @@ def sentences(text: str) -> list[str]:
     return out
 
 
-def runs(text: str, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First sentence, end sentence (exclusive) and hash of every run of a text."""
+def runs(
+    text: str, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS, both_ends: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First sentence, end sentence (exclusive) and hash of every run of a text.
+
+    With ``both_ends`` these are the fewest sentences up to each sentence, too, so the
+    last sentences of a repeated span are in a run as the first ones are.
+    """
     empty = np.zeros(0, dtype=np.int64)
     h64, kept, words, hashes = xxhash.xxh64_intdigest, [], [0], []
     n_parts = 0
@@ -61,6 +67,12 @@ def runs(text: str, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS) ->
     end = np.where(size >= long_words, start + 1, end)
     full = end <= n
     start, end = start[full], end[full]
+    if both_ends:
+        upto = np.arange(1, n + 1)
+        back = np.minimum(np.searchsorted(words, words[1:] - min_words, side="right") - 1, upto - MIN_SENTENCES)
+        back = np.where(size >= long_words, upto - 1, back)
+        start, end = np.r_[start, back[back >= 0]], np.r_[end, upto[back >= 0]]
+        start, end = np.unique(np.stack([start, end]), axis=1)
     # The hash of a run: its sentences' hashes as digits of a number modulo 2**64.
     up = _powers(n)
     prefix = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(np.array(hashes, dtype=np.uint64) * up[0], dtype=np.uint64)])
@@ -89,13 +101,15 @@ def _text_hash(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def run_table(docs: DataFrame, id_col: str, text_col: str, min_words: int, long_words: int) -> DataFrame:
+def run_table(
+    docs: DataFrame, id_col: str, text_col: str, min_words: int, long_words: int, both_ends: bool = False
+) -> DataFrame:
     """``id``, ``th`` (hash of the whole text), ``first``, ``last`` and ``h`` of every run."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [runs(t or "", min_words, long_words) for t in b.column(2).to_pylist()]
+            found = [runs(t or "", min_words, long_words, both_ends) for t in b.column(2).to_pylist()]
             n = [len(f[0]) for f in found]
             if not sum(n):
                 continue
@@ -116,10 +130,11 @@ def removals(
     text_col: str = "text",
     min_words: int = MIN_WORDS,
     long_words: int = LONG_WORDS,
+    both_ends: bool = False,
 ) -> DataFrame:
     """``id``, ``th`` and ``spans`` (array of first and last sentence) of the texts that lose sentences."""
     configure(docs.sparkSession)
-    every = table(run_table(docs, id_col, text_col, min_words, long_words), "runs")
+    every = table(run_table(docs, id_col, text_col, min_words, long_words, both_ends), "runs")
     repeated = cut(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     few = repeated.count() <= BROADCAST_HASHES
     again = table(every.join(F.broadcast(repeated) if few else repeated, "h", "left_semi"), "runs-repeated")
@@ -128,7 +143,7 @@ def removals(
     later = again.join(firsts, "h").where(
         ~(F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("th") == F.col("origin.th")) & (F.col("first") == F.col("origin.first")))
     )
-    # A text's runs are as many as its sentences at most.
+    # A text's runs are as many as its sentences at most, or twice as many.
     return later.groupBy("id", "th").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
@@ -138,6 +153,7 @@ def substring_dedup(
     text_col: str = "text",
     min_words: int = MIN_WORDS,
     long_words: int = LONG_WORDS,
+    both_ends: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with repeated sentences removed from the text, and ``n_removed`` (long).
 
@@ -146,7 +162,7 @@ def substring_dedup(
     and share their fate. Null ids come first in the order of runs. An empty table
     gives an empty table. A column of the input named ``n_removed`` is replaced.
     """
-    gone = removals(docs, id_col, text_col, min_words, long_words)
+    gone = removals(docs, id_col, text_col, min_words, long_words, both_ends)
 
     keyed = docs.withColumn("__th", _text_hash(text_col))
     marks = gone.select(F.col("id").alias("__id"), F.col("th").alias("__gone"), F.col("spans").alias("__spans"))
