@@ -42,3 +42,23 @@ def test_stage_leaves_no_end_of_a_repeated_span(spark):
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeats(spark, docs, "").collect()}
     assert got[0] == rows[0] and got[2] == rows[2] and 1 not in got
     assert got[3].startswith(own) and not set(" ".join(inner).split()) & set(got[3].split())
+
+
+def test_stage_removes_passages_planted_in_mid_sentence(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(40):
+        passage = " ".join(words(rng, 56))  # no mark at all, in the middle of a sentence
+        for _ in range(2):
+            a, b = (" ".join(words(rng, 30)) for _ in range(2))
+            rows.append(f"{a} {passage} {b}.")
+    docs = spark.createDataFrame([(i, t, None, "s", 1, "x", None, 1) for i, t in enumerate(rows)], DOCS)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeats(spark, docs, "").collect()}
+    assert all(got[i] == rows[i] for i in range(0, 80, 2))
+    lost = [len(rows[i].split()) - len(got[i].split()) for i in range(1, 80, 2)]
+    assert sum(n >= 15 for n in lost) >= 38 and max(lost) <= 56
+
+
+def test_pieces_make_up_the_text():
+    for text in ["", " ", "a, b;c\n\nd. e", "é日本。語 x, ", "  lead " + "w x " * 60]:
+        assert "".join(sentence_spans.pieces(text)) == text

@@ -10,6 +10,7 @@ any run that is not the first of its hash are removed.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,8 @@ from tilewright.llm.common import configure, cut, table
 
 #: End of a sentence: marks followed by white space, or line ends.
 _END = re.compile(r"(?:[.!?。！？]+[\"')\]]*\s+|[。！？]+|\n+)\s*")
+#: Marks that end a piece of a sentence, and one of how many words ends one by its hash.
+_PART, _WORD, CUT = tuple(",;:，；：、"), re.compile(r"(\S+)\s*"), 8
 MIN_SENTENCES, MIN_WORDS, LONG_WORDS = 2, 15, 25
 #: Up to so many repeated hashes (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_HASHES = 2_000_000
@@ -41,18 +44,37 @@ def sentences(text: str) -> list[str]:
     return out
 
 
+def pieces(text: str) -> list[str]:
+    """The sentences of a text cut further, at marks and after words that their hash chooses.
+
+    Where a sentence is cut depends on its own words only, so a passage has the same
+    pieces wherever it is, but for the words before its first cut and after its last.
+    """
+    out = []
+    for part in sentences(text):
+        last = 0
+        for m in _WORD.finditer(part):
+            if m[1].endswith(_PART) or zlib.crc32(m[1].encode("utf-8", "surrogatepass")) % CUT == 0:
+                out.append(part[last : m.end()])
+                last = m.end()
+        if last < len(part):
+            out.append(part[last:])
+    return out
+
+
 def runs(
-    text: str, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS, both_ends: bool = False
+    text: str, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS, both_ends: bool = False, fine: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First sentence, end sentence (exclusive) and hash of every run of a text.
 
     With ``both_ends`` these are the fewest sentences up to each sentence, too, so the
-    last sentences of a repeated span are in a run as the first ones are.
+    last sentences of a repeated span are in a run as the first ones are. With ``fine``,
+    ``pieces`` take the place of sentences.
     """
     empty = np.zeros(0, dtype=np.int64)
     h64, kept, words, hashes = xxhash.xxh64_intdigest, [], [0], []
     n_parts = 0
-    for n_parts, part in enumerate(sentences(text), 1):
+    for n_parts, part in enumerate(pieces(text) if fine else sentences(text), 1):
         if plain := part.strip():  # white space alone is no sentence of a run
             kept.append(n_parts - 1)
             words.append(plain.count(" ") + 1)
@@ -102,14 +124,14 @@ def _text_hash(text_col: str) -> Column:
 
 
 def run_table(
-    docs: DataFrame, id_col: str, text_col: str, min_words: int, long_words: int, both_ends: bool = False
+    docs: DataFrame, id_col: str, text_col: str, min_words: int, long_words: int, both_ends: bool = False, fine: bool = False
 ) -> DataFrame:
     """``id``, ``th`` (hash of the whole text), ``first``, ``last`` and ``h`` of every run."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [runs(t or "", min_words, long_words, both_ends) for t in b.column(2).to_pylist()]
+            found = [runs(t or "", min_words, long_words, both_ends, fine) for t in b.column(2).to_pylist()]
             n = [len(f[0]) for f in found]
             if not sum(n):
                 continue
@@ -131,10 +153,11 @@ def removals(
     min_words: int = MIN_WORDS,
     long_words: int = LONG_WORDS,
     both_ends: bool = False,
+    fine: bool = False,
 ) -> DataFrame:
     """``id``, ``th`` and ``spans`` (array of first and last sentence) of the texts that lose sentences."""
     configure(docs.sparkSession)
-    every = table(run_table(docs, id_col, text_col, min_words, long_words, both_ends), "runs")
+    every = table(run_table(docs, id_col, text_col, min_words, long_words, both_ends, fine), "runs")
     repeated = cut(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     few = repeated.count() <= BROADCAST_HASHES
     again = table(every.join(F.broadcast(repeated) if few else repeated, "h", "left_semi"), "runs-repeated")
@@ -154,6 +177,7 @@ def substring_dedup(
     min_words: int = MIN_WORDS,
     long_words: int = LONG_WORDS,
     both_ends: bool = False,
+    fine: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with repeated sentences removed from the text, and ``n_removed`` (long).
 
@@ -161,8 +185,9 @@ def substring_dedup(
     loses all becomes the empty text. Repeated rows (equal id and text) count as one
     and share their fate. Null ids come first in the order of runs. An empty table
     gives an empty table. A column of the input named ``n_removed`` is replaced.
+    ``both_ends`` and ``fine`` are those of ``runs``.
     """
-    gone = removals(docs, id_col, text_col, min_words, long_words, both_ends)
+    gone = removals(docs, id_col, text_col, min_words, long_words, both_ends, fine)
 
     keyed = docs.withColumn("__th", _text_hash(text_col))
     marks = gone.select(F.col("id").alias("__id"), F.col("th").alias("__gone"), F.col("spans").alias("__spans"))
@@ -171,18 +196,18 @@ def substring_dedup(
     out = joined.withColumn("n_removed", F.coalesce(counted, F.lit(0)).cast("long"))
     # Only texts that lose sentences go through Python.
     marked = F.when(F.col("__spans").isNotNull(), F.col(text_col))
-    out = out.withColumn(text_col, F.coalesce(_remove_all(marked, F.col("__spans")), F.col(text_col)))
+    out = out.withColumn(text_col, F.coalesce(_remove_all(marked, F.col("__spans"), F.lit(fine)), F.col(text_col)))
     return out.drop("__th", "__id", "__gone", "__spans")
 
 
-def remove(text: str, spans: list) -> str:
-    """The text without the sentences of ``spans`` (pairs of first and end)."""
+def remove(text: str, spans: list, fine: bool = False) -> str:
+    """The text without the sentences (or pieces) of ``spans`` (pairs of first and end)."""
     gone: set[int] = set()
     for s in spans:
         gone.update(range(s["first"], s["last"]))
-    return "".join(p for i, p in enumerate(sentences(text)) if i not in gone)
+    return "".join(p for i, p in enumerate(pieces(text) if fine else sentences(text)) if i not in gone)
 
 
 @F.pandas_udf(T.StringType())
-def _remove_all(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else remove(t, s) for t, s in zip(texts, spans)], dtype=object)
+def _remove_all(texts: pd.Series, spans: pd.Series, fine: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else remove(t, s, f) for t, s, f in zip(texts, spans, fine)], dtype=object)
