@@ -67,18 +67,22 @@ def fingerprint(text: str | None) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id and ``fp`` (the fingerprint as a signed long) of every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", text_hash: bool = False) -> DataFrame:
+    """Id and ``fp`` (the fingerprint as a signed long) of every row, and ``th`` (XXH64 of its text; a null one is empty) on request."""
     configure(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py()) for t in b.column(1)), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            more = b.columns[2:]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(fps.view(np.int64)), *more], names=["id", "fp", "th"][: 2 + len(more)]
+            )
 
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, f"id {id_type}, fp long")
+    th = [F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th")] if text_hash else []
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *th)
+    return slim.mapInArrow(run, f"id {id_type}, fp long" + (", th long" if text_hash else ""))
 
 
 @cache
@@ -257,7 +261,12 @@ def links(distinct: DataFrame, threshold: int = 2) -> DataFrame:
 
 
 def simhash_components(
-    docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", more: DataFrame | None = None
+    docs: DataFrame,
+    threshold: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    more: DataFrame | None = None,
+    text_hash: bool = False,
 ) -> DataFrame:
     """Fingerprint and component of every row.
 
@@ -267,8 +276,10 @@ def simhash_components(
     smallest id unless it has no other. Repeated rows stay repeated; an empty table
     gives an empty table; other columns are not read. ``more`` has further links
     (``a`` and ``b``, fingerprints as signed longs), such as those of ``near_copies``.
+    ``text_hash`` adds the columns ``th`` of ``fingerprints`` and ``root`` (a fingerprint
+    that is the component's own, where several have the same smallest id).
     """
-    prints = table(fingerprints(docs, id_col, text_col), "simhash-fp")
+    prints = table(fingerprints(docs, id_col, text_col, text_hash), "simhash-fp")
     smallest = prints.groupBy("fp").agg(F.min("id").alias("least"))
     edges = links(smallest, threshold).where("a <> b")
     edges = edges if more is None else edges.unionByName(more.select("a", "b"))
@@ -276,10 +287,12 @@ def simhash_components(
     # Only fingerprints with links are in roots; the others are their own component.
     # Cut, so that the next joins can split a large component's or a frequent text's rows.
     least = cut(smallest.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component")))
-    found = roots.join(least, "root").select("fp", "component")
-    of = cut(smallest.join(found, "fp", "left").select("fp", F.coalesce("component", "least").alias("component")))
+    found = roots.join(least, "root").select("fp", "root", "component")
+    own = F.coalesce("component", "least").alias("component"), F.coalesce("root", "fp").alias("root")
+    of = cut(smallest.join(found, "fp", "left").select("fp", *own))
     return prints.join(of, "fp", "left").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
+        *(["th", "root"] if text_hash else []),
     )
