@@ -12,7 +12,11 @@ removed from each page of the host.
 
 Elements whose name or class says that they are page furniture (menus, adverts,
 forms, ...) are presentation nodes of no importance on any host: their text often
-differs from page to page, which entropy alone takes for content.
+differs from page to page, which entropy alone takes for content. A name counts only
+as a whole class, id or role, and says nothing of html and body or of an element whose
+child elements hold most of the page's text; the same goes for forms. Where articles (article or
+main) hold half of the text that is left or more, only they are put out; otherwise
+all of it is.
 """
 
 from __future__ import annotations
@@ -58,7 +62,7 @@ _TAG = re.compile(
 )
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_WORD, _DIGITS = re.compile(r"[^a-z]+"), re.compile(r"[0-9]+")
+_DIGITS = re.compile(r"[0-9]+")
 #: What an opening tag closes if it is open in the same block (fixed values of HTML).
 _CLOSES = {t: {"p"} for t in BLOCKS} | {
     "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
@@ -75,6 +79,7 @@ class Node:
     path: int
     tag: str
     furniture: bool
+    surely: bool  # furniture by its element, whatever it holds
     parent: "Node | None" = None
     items: list = field(default_factory=list)  # nodes, and texts as str
     links: list = field(default_factory=list)
@@ -86,7 +91,7 @@ def _path(parent: int, label: str) -> int:
 
 def parse(page: str | None) -> Node:
     """The element tree of a page; what is open at the end is closed there."""
-    root = Node(0, "", False)
+    root = Node(0, "", False, False)
     here, at, text = root, 0, page or ""
     while at < len(text):
         lt = text.find("<", at)
@@ -127,8 +132,9 @@ def parse(page: str | None) -> Node:
                 given.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
         says = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".lower()
         style = _DIGITS.sub("0", " ".join(sorted(says.split())))  # numbers in names count rows, not styles
-        words = set(_WORD.split(says)) if style else ()
-        node = Node(_path(here.path, f"{tag}.{style}"), tag, tag in FURNITURE or not FURNITURE_WORDS.isdisjoint(words), here)
+        surely = tag in FURNITURE and tag != "form"
+        named = tag == "form" or not FURNITURE_WORDS.isdisjoint(says.split())
+        node = Node(_path(here.path, f"{tag}.{style}"), tag, surely or named and tag not in ("html", "body"), surely, here)
         here.items.append(node)
         if link := given.get("href") or given.get("src"):
             node.links.append(link)
@@ -140,9 +146,28 @@ def parse(page: str | None) -> Node:
             continue
         if not rest.endswith("/") or tag in BLOCKS:
             here = node
+    named = [n for n in _walk(root) if n.furniture and not n.surely]
+    if named:
+        amount = _amounts(root)
+        for n in named:
+            n.furniture = 2 * sum(amount[id(i)] for i in n.items if isinstance(i, Node)) <= amount[id(root)]
     return root
 
 
+def _amounts(root: Node, removed: set[int] | None = None) -> dict[int, int]:
+    """Characters of text (no white space) in each node by its id(), without furniture and branches of ``removed``.
+
+    Without ``removed``, furniture by name counts, too.
+    """
+    amount: dict[int, int] = {}
+    for n in reversed(list(_walk(root))):
+        if n.surely or removed is not None and (n.furniture or n.path in removed):
+            amount[id(n)] = 0
+        else:
+            amount[id(n)] = sum(len("".join(i.split())) if isinstance(i, str) else amount[id(i)] for i in n.items)
+    return amount
+
+
 def _walk(root: Node) -> Iterator[Node]:
     stack = [root]
     while stack:
@@ -175,7 +200,7 @@ def node_features(page: str | None) -> set[tuple[int, int, int, int]]:
 
 
 def main_text(page: str | None, removed: set[int]) -> str:
-    """Text of a page without furniture and the branches of ``removed``; of its articles, if it has any."""
+    """Text of a page without furniture and the branches of ``removed``; of its articles, if they hold half of it or more."""
     root = parse(page)
     articles = [n for n in _walk(root) if n.tag in ("article", "main") and not n.furniture]
     blocks: list[str] = []
@@ -188,10 +213,12 @@ def main_text(page: str | None, removed: set[int]) -> str:
         line.clear()
 
     inside = set(map(id, articles))
-    starts = [n for n in articles if not any(id(a) in inside for a in _above(n))] or [root]
-    for start in starts:
-        if any(a.furniture for a in _above(start)):
-            continue
+    starts = [n for n in articles if not any(id(a) in inside or a.furniture or a.path in removed for a in _above(n))]
+    if starts:
+        amount = _amounts(root, removed)
+        if 2 * sum(amount[id(n)] for n in starts) < amount[id(root)]:
+            starts = []
+    for start in starts or [root]:
         stack: list[Node | str | None] = [start]
         while stack:
             item = stack.pop()
