@@ -1,8 +1,9 @@
 """Helpers that the operators of this subpackage share.
 
 Intermediate tables live in the folder that the cluster names in
-``spark.checkpoint.dir`` (a folder of our own is set only where that setting is
-absent, as in tests), so that a lost executor never takes results with it.
+``spark.checkpoint.dir``, so that a lost executor never takes results with it. Where
+that setting is absent a local session, as in tests, gets a folder of its own; a
+cluster without it is an error, as executors don't see the driver's disk.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     set_already = spark.sparkContext.getCheckpointDir()
     if not set_already:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tilewright-"))
         set_already = spark.sparkContext.getCheckpointDir()
     return set_already.rstrip("/")

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.common import cut, lower_ascii
 
-#: Suffixes of more than one label that hosts are registered under (fixed values).
+#: Public suffixes of more than one label that hosts are registered under, unless others are given (fixed values).
 SUFFIXES = (
     "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp", "ne.jp", "ac.jp",
-    "com.br", "com.cn", "com.mx", "com.tr", "com.ar", "co.in", "co.kr", "co.za", "example.com", "example.net", "example.org",
+    "com.br", "com.cn", "com.mx", "com.tr", "com.ar", "co.in", "co.kr", "co.za",
 )
 #: Standard deviations below the posterior mean; the bound from which a host is blocked.
 Z, BLOCK_FROM = 1.645, 0.5
@@ -48,16 +48,16 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tu
     return text, verdict
 
 
-def suffix_of(host: Column) -> Column:
-    """Public suffix: one of SUFFIXES or the last label."""
+def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """Public suffix: one of two labels that is listed, or the last label."""
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
     """Registered domain: the suffix and one label more, as far as the host has one."""
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    return F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two)
 
 
 def _strength(rates: DataFrame) -> float:
@@ -85,7 +85,9 @@ def _mean(parent: Column, strength: float) -> Column:
     return (parent * strength + F.col("bad")) / (F.col("n") + strength)
 
 
-def reputations(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def reputations(
+    pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", suffixes: Sequence[str] = SUFFIXES
+) -> DataFrame:
     """``host``, ``domain``, ``suffix``, ``n`` (labelled pages), ``bad``, ``bad_rate`` and ``bad_bound`` of every host.
 
     ``labels`` has the id in ``doc_id``; a page is bad if a label of it says toxic 1
@@ -101,12 +103,13 @@ def reputations(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", ur
         F.coalesce(F.sum(F.when(F.col("bad").isNotNull(), F.col("count"))), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.col("bad") * F.col("count")), F.lit(0)).alias("bad"),
     )
-    hosts = cut(hosts.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad"))
+    name = F.col("host")
+    hosts = cut(hosts.select("host", domain_of(name, suffixes).alias("domain"), suffix_of(name, suffixes).alias("suffix"), "n", "bad"))
     domains = cut(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-    suffixes = cut(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-    total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    above = cut(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    total = above.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = float(total["bad"] or 0) / float(total["n"]) if total and total["n"] else 0.0
-    of_suffix = suffixes.select("suffix", _mean(F.lit(overall), _strength(suffixes)).alias("above"))
+    of_suffix = above.select("suffix", _mean(F.lit(overall), _strength(above)).alias("above"))
     of_domain = cut(
         domains.join(of_suffix, "suffix").select("domain", _mean(F.col("above"), _strength(domains)).alias("above"))
     )
@@ -125,15 +128,17 @@ def judge_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     block_from: float = BLOCK_FROM,
+    suffixes: Sequence[str] = SUFFIXES,
 ) -> DataFrame:
     """Id, ``host``, ``path``, ``rule``, ``verdict`` (allow or block) and ``bad_bound`` of every row of ``pages``.
 
-    The longest fitting rule decides, else the host's reputation. Null urls and urls
+    The longest fitting rule decides, else the host's reputation. ``suffixes`` are the
+    public suffixes of two labels. Null urls and urls
     without ``://`` have the empty host and path, whose reputation counts like any
     other host's. Repeated rows stay; without labels nothing but rules blocks; an
     empty table gives an empty table; other columns are not read.
     """
-    known = cut(reputations(pages, labels, id_col, url_col).select(F.col("host").alias("__host"), "bad_bound"))
+    known = cut(reputations(pages, labels, id_col, url_col, suffixes).select(F.col("host").alias("__host"), "bad_bound"))
     named = pages.select(
         F.col(id_col).alias(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")
     )
