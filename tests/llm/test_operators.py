@@ -114,6 +114,19 @@ def test_top_k_equals_brute_force(spark):
             want |= {(q, r, i, -s) for r, (s, i) in enumerate(best, 1)}
         assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert bit_sliced.top_inner_products(table.limit(0), table.limit(0)).count() == 0
+    # Large components of both signs, up to sums of 63 bits.
+    large = [(i, [float(rng.integers(-(2**e), 2**e)) for e in (16, 20, 24)]) for i in range(120)] + [(120, [2.0**24, 0.0, -(2.0**23)])]
+    rows = spark.createDataFrame([(i, v) for i, v in large], "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in bit_sliced.top_inner_products(rows, rows.where("vec_id % 20 = 0"), 5, 64, rows=50).collect()}
+    want = set()
+    for q, v in large[::20]:
+        best = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(v, w)), i) for i, w in large if i != q)[:5]
+        want |= {(q, r, i, -s) for r, (s, i) in enumerate(best, 1)}
+    assert got == want and max(abs(s) for *_, s in want) > 2**55
+    for huge in ([(0, [2.0**40]), (1, [2.0**40])], [(0, [2.0**60]), (1, [0.0])]):
+        with pytest.raises(Exception, match="64-bit integer|beyond 2"):
+            rows = spark.createDataFrame(huge, "vec_id long, embedding array<double>")
+            bit_sliced.top_inner_products(rows, rows).collect()
     few = bit_sliced.top_inner_products(table.where("vec_id < 3"), table.where("vec_id = 0")).collect()
     assert [(r["rank"], r["query_id"]) for r in few] == [(1, 0), (2, 0)]
 
@@ -200,6 +213,70 @@ def test_toxicity_held_out(spark, hard, empty):
     assert toxicity.toxicity(empty, labels).count() == 0
 
 
+def brute_features(text):
+    """The hashes of the distinct n-grams, character by character."""
+    plain = " " + " ".join((text or "").lower().split()) + " "
+    out = set()
+    for n in toxicity.GRAMS:
+        for i in range(len(plain) - n + 1):
+            h = n
+            for c in plain[i : i + n]:
+                h = (h ^ ord(c)) * 2654435761 % 2**32
+                h ^= h >> 15
+            out.add(h >> (32 - toxicity.HASH_BITS))
+    return out
+
+
+def test_toxicity_against_brute_force(spark):
+    rng = random.Random(5)
+    texts = {i: " ".join(words(rng, rng.randrange(12)) + ["vile"] * (i % 5 == 0)) for i in range(90)} | {90: None, 91: ""}
+    marks = {i: int(i % 5 == 0) for i in range(0, 90, 2)} | {90: 0, 3: None}
+    rows = [(i, t, "en", "s", 1, "x", None, 1) for i, t in texts.items()] + [(4, "the same id again", "en", "s", 1, "x", None, 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, 1, t) for i, t in marks.items()] + [(6, 1, 1), (6, 1, 0)], "doc_id long, quality int, toxic int")
+    learnt = [(t, marks[i]) for i, t, *_ in rows if marks.get(i) is not None and i != 6 and zlib.crc32(str(i).encode()) % 4 != 2]
+    toxic, clean, n_toxic, n_clean = toxicity.feature_counts(toxicity.labelled(docs, labels))
+    assert (n_toxic, n_clean) == tuple(sum(y == k for _, y in learnt) for k in (1, 0))
+    for got, k in ((toxic, 1), (clean, 0)):
+        want = np.zeros(1 << toxicity.HASH_BITS, dtype=int)
+        for t, y in learnt:
+            if y == k:
+                want[sorted(brute_features(t))] += 1
+        assert (got == want).all()
+    ratio = toxicity.log_count_ratios(toxic, clean, n_toxic, n_clean)
+    sure = 0
+    for f in set().union(*map(brute_features, texts.values())):
+        own = math.log((toxic[f] + 1) / (n_toxic + 2)) - math.log((clean[f] + 1) / (n_clean + 2))
+        chance = math.sqrt(1 / (toxic[f] + 1) + 1 / (clean[f] + 1))
+        sure += abs(own) >= 2.5 * chance
+        assert math.isclose(ratio[f], own if abs(own) >= 2.5 * chance else 0.0)
+    assert sure
+    # The regression's optimum by Newton's method on a dense matrix; the rounds of a fit approach it.
+    x = np.zeros((len(learnt), 1 << toxicity.HASH_BITS))
+    for i, (t, _) in enumerate(learnt):
+        own = sorted(brute_features(t))
+        x[i, own] = ratio[own]
+    used = np.flatnonzero(x.any(axis=0))
+    x, y = x[:, used], np.array([k for _, k in learnt], dtype=float)
+    n, f = len(y), np.zeros(len(y))
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-f))
+        weight = np.maximum(p * (1 - p), 1e-9)
+        system = np.block([[x @ x.T + np.diag(toxicity.SHRINK / weight), np.ones((n, 1))], [np.ones((1, n)), np.zeros((1, 1))]])
+        *dual, b = np.linalg.solve(system, np.r_[f + (y - p) / weight, 0.0])
+        f = x @ x.T @ dual + b
+    exact = toxicity.fit(*toxicity.sampled(toxicity.labelled(docs, labels), 6000, ratio), ratio, rounds=4000)
+    assert np.allclose(exact.weights[used], x.T @ dual * ratio[used], atol=1e-4) and abs(exact.intercept - b) < 1e-2
+    model = toxicity.train(docs, labels)
+    for r in toxicity.toxicity(docs, labels).collect():
+        if r["doc_id"] != 4:
+            z = model.intercept + sum(float(model.weights[k]) for k in brute_features(texts[r["doc_id"]]))
+            assert math.isclose(r["score"], 1 / (1 + math.exp(-z)), rel_tol=1e-4)
+            assert r["predicted"] == int(r["score"] >= 0.3)
+    few, marks = toxicity.sampled(toxicity.labelled(docs, labels), 10, ratio)
+    assert len(few) == len(marks) == 10
+
+
 # op6 ------------------------------------------------------------------------------------------------------------
 
 

@@ -3,13 +3,20 @@
 The index holds blocks of up to ROWS vectors. Quantised components are stored as
 bit slices: for each dimension and each binary place one bitmap over the block's
 rows (values are raised by an offset so that they are never negative). A query's
-scores on a block are made by adding slices with bitmap arithmetic: every set bit
-of a weight adds that dimension's slices at its place, through carry-save adders.
+scores on a block are made by adding slices with bitmap arithmetic: a weight is
+written with digits 1, 0 and -1, no two of them together, and every digit adds that
+dimension's slices (complemented for -1) at its place, through carry-save adders.
 The best rows are taken from the most significant slice of the sums downward, and
 rows equal to the boundary score are resolved exactly, by the smaller id.
 
-Queries (a stated set) meet the blocks in a grid of query blocks and row blocks;
-each block's best ``k`` are merged by a window that keeps ``k`` rows of a query.
+Slices are as many as the sums need, so scores are exact whatever the components;
+a score among the best that is no 64-bit integer is an error.
+
+Queries (a stated set) meet the blocks in a grid of query blocks and row blocks.
+Every query meets every block, so what is shuffled is a block for each query block
+and the other way round; both are megabytes, so that is few bytes for a pair of a
+query and a row. Each block's best ``k`` are merged by a window that keeps ``k`` rows
+of a query.
 """
 
 from __future__ import annotations
@@ -25,22 +32,37 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.common import configure, table
 
-#: Vectors in a block of the index, and in a block of queries.
-ROWS, QUERIES = 65_536, 64
-#: Query blocks that meet a row block in one task.
-SLAB = 4
-#: Quantised components beyond this are taken as this, so that scores fit 64 bits.
-LARGEST = 2**26
+#: Vectors in a block of the index at most; query vectors in a block, at least and at most.
+ROWS, QUERIES = 65_536, (128, 4096)
+#: Cells of the grid that are worth a task each, for every core.
+CELLS = 4
+#: Quantised components from here on are an error: they are no 64-bit integers with room for a sign and a difference.
+LARGEST = 2**62
 
 
 def quantised(vector: Column, scale: int) -> Column:
     """floor(scale * x) of each component; null if the vector takes no part."""
-    bound = F.lit(float(LARGEST))
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    whole = F.transform(
-        vector, lambda x: F.floor(F.greatest(-bound, F.least(bound, F.lit(float(scale)) * x.cast("double")))).cast("int")
-    )
-    return F.when(finite, whole)
+
+    def whole(x: Column) -> Column:
+        value = F.floor(F.lit(float(scale)) * x.cast("double"))
+        error = F.raise_error(F.lit("a quantised component is beyond 2**62")).cast("long")
+        return F.when(F.abs(F.lit(float(scale)) * x.cast("double")) < F.lit(float(LARGEST)), value).otherwise(error)
+
+    return F.when(finite, F.transform(vector, whole))
+
+
+def digits(weight: int) -> list[tuple[int, int]]:
+    """(place, digit) of a whole number in digits 1 and -1, no two at neighbouring places."""
+    out, place = [], 0
+    while weight:
+        if weight & 1:
+            d = 2 - (weight & 3)
+            out.append((place, d))
+            weight -= d
+        weight >>= 1
+        place += 1
+    return out
 
 
 def _bitmaps(bits: np.ndarray) -> np.ndarray:
@@ -90,9 +112,9 @@ class Block:
         order = np.argsort(ids, kind="stable")
         values = values[order].astype(np.int64)
         low = int(values.min(initial=0))
-        raised = values - low
+        raised = (values - low).view(np.uint64)
         places = max(1, int(raised.max(initial=0)).bit_length())
-        slices = np.stack([_bitmaps((raised >> p & 1).astype(np.uint8)) for p in range(places)], axis=1)
+        slices = np.stack([_bitmaps((raised >> np.uint64(p) & np.uint64(1)).astype(np.uint8)) for p in range(places)], axis=1)
         return cls(ids[order], low, slices)
 
     def bytes(self) -> bytes:
@@ -108,28 +130,25 @@ class Block:
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Slices of every row's score, raised so that none is negative, and by how much.
 
-        The score is sum q*v = sum q*(v - low) + low * sum q. A negative weight's
-        slices are complemented: -a * u = a * (2**places - 1 - u) - a * (2**places - 1).
+        The score is sum q*v = sum q*(v - low) + low * sum q. A negative digit's
+        slices are complemented: -u = (2**places - 1 - u) - (2**places - 1).
         """
         columns: list[list[np.ndarray]] = []
-        base = self.low * int(query[: self.dims].sum())
+        weights = query.tolist()[: self.dims]
+        base = self.low * sum(weights)
         top = (1 << self.places) - 1
-        for d, q in enumerate(query.tolist()):
-            weight, own = abs(q), list(self.slices[d]) if d < self.dims else []
-            if not weight or not own:
-                continue
-            if q < 0:
-                own = [~s for s in own]
-                base -= weight * top
-            shift = 0
-            while weight:
-                if weight & 1:
-                    while len(columns) < shift + self.places:
-                        columns.append([])
-                    for p, s in enumerate(own):
-                        columns[shift + p].append(s)
-                weight >>= 1
-                shift += 1
+        for d, weight in enumerate(weights):
+            own = list(self.slices[d])
+            other = None
+            for place, digit in digits(weight):
+                if digit < 0:
+                    if other is None:
+                        other = [~s for s in own]
+                    base -= top << place
+                while len(columns) < place + self.places:
+                    columns.append([])
+                for p, s in enumerate(own if digit > 0 else other):
+                    columns[place + p].append(s)
         return [s if s is not None else np.zeros(self.words, dtype=np.uint64) for s in add_slices(columns)], base
 
     def best(self, query: np.ndarray, k: int, skip: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -155,30 +174,31 @@ class Block:
         rows = self._rows(sure)
         if got < k:  # all rows of ``equal`` have the boundary score; rows are in the order of ids
             rows = np.concatenate([rows, self._rows(equal)[: k - got]])
-        score = np.full(len(rows), base, dtype=np.int64)
+        narrow = len(slices) < 62 and abs(base) < 2**62
+        score = np.full(len(rows), base, dtype=np.int64 if narrow else object)
         for p, s in enumerate(slices):
-            score += (s[rows >> 6] >> (rows & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << p
-        return self.ids[rows], score
+            bit = (s[rows >> 6] >> (rows & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64)
+            score += bit << p if narrow else bit.astype(object) << p
+        if not narrow and any(not -(2**63) <= x < 2**63 for x in score.tolist()):
+            raise OverflowError("a score among the best is no 64-bit integer")
+        return self.ids[rows], score.astype(np.int64)
 
     def _rows(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little")[: self.n])
 
 
-def _blocks(vectors: DataFrame, id_col: str, vector_col: str, scale: int, rows: int, sliced: bool) -> DataFrame:
-    """``number`` (from 0), ``ids`` and ``body`` of blocks of up to ``rows`` vectors, as they lie in the input.
+def _blocks(slim: DataFrame, rows: int, parts: int, sliced: bool) -> DataFrame:
+    """``number`` (from 0), ``ids`` and ``body`` of blocks of up to ``rows`` vectors (``id``, ``v``), dealt into so many parts first.
 
-    The body is a sliced block, or the number of dimensions and the plain values.
+    The body is a sliced block, or the plain values.
     """
-    configure(vectors.sparkSession)
-    slim = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"))
-    slim = slim.where("id is not null and v is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[np.ndarray] = []
         held: list[np.ndarray] = []
 
         def pack() -> pa.RecordBatch:
-            values = np.zeros((len(held), max(map(len, held))), dtype="<i4")
+            values = np.zeros((len(held), max(map(len, held))), dtype="<i8")
             for i, v in enumerate(held):
                 values[i, : len(v)] = v
             own = np.concatenate(ids).astype("<i8")
@@ -205,12 +225,18 @@ def _blocks(vectors: DataFrame, id_col: str, vector_col: str, scale: int, rows:
         if held:
             yield pack()
 
-    blocks = table(slim.mapInArrow(run, "ids binary, body binary").withColumn("at", F.monotonically_increasing_id()), "blocks")
+    dealt = slim.repartition(parts).mapInArrow(run, "ids binary, body binary")
+    blocks = table(dealt.withColumn("at", F.monotonically_increasing_id()), "blocks")
     # Numbers are given to the blocks' places alone: a row for each ``rows`` vectors.
     numbers = blocks.select("at").withColumn("number", F.row_number().over(W.orderBy("at")) - 1)
     return table(blocks.join(numbers, "at").drop("at"), "numbered-blocks")
 
 
+def _taking_part(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
+    slim = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"))
+    return slim.where("id is not null and v is not null")
+
+
 def top_inner_products(
     vectors: DataFrame,
     queries: DataFrame,
@@ -226,17 +252,27 @@ def top_inner_products(
     null, or have a null or non-finite component, take no part as queries or rows;
     rows without an id neither. Missing components of shorter vectors count as 0.
     Repeated rows are candidates each; queries with the same id are answered as
-    one, by the best rows of any. Empty tables give an empty table.
+    one, by the best rows of any. Components are taken exactly up to 2**62 after
+    scaling, beyond which they are an error; so is a score among the best that is no
+    64-bit integer. Empty tables give an empty table.
     """
-    index = _blocks(vectors, id_col, vector_col, scale, rows, sliced=True)
-    asked = _blocks(queries, id_col, vector_col, scale, QUERIES, sliced=False)
-    cells, slabs = index.count(), -(-asked.count() // SLAB)
+    configure(vectors.sparkSession)
+    every, some = _taking_part(vectors, id_col, vector_col, scale), _taking_part(queries, id_col, vector_col, scale)
+    n, asked_n = every.count(), some.count()
+    cells = max(1, -(-n // rows))
+    # Of the grid's cells, as many as keep all cores busy; query blocks of a few thousand at scale.
+    wanted = CELLS * vectors.sparkSession.sparkContext.defaultParallelism
+    per = min(QUERIES[1], max(QUERIES[0], asked_n * cells // wanted))
+    slabs = max(1, -(-asked_n // per))
+    index = _blocks(every, rows, cells, sliced=True)
+    asked = _blocks(some, per, slabs, sliced=False)
+    cells, slabs = index.count(), asked.count()
     result = "query_id long, vec_id long, score long"
-    # The grid of row blocks and slabs of query blocks: a group is one cell of it.
+    # The grid of row blocks and query blocks: a group is one cell of it.
     left = index.select(F.col("number").alias("cell"), "ids", "body").withColumn(
         "slab", F.explode(F.sequence(F.lit(0), F.lit(max(0, slabs - 1))))
     )
-    right = asked.select((F.col("number") / SLAB).cast("int").alias("slab"), F.col("ids").alias("q_ids"), F.col("body").alias("q_body"))
+    right = asked.select(F.col("number").alias("slab"), F.col("ids").alias("q_ids"), F.col("body").alias("q_body"))
     right = right.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(max(0, cells - 1)))))
 
     def answer(block: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
@@ -245,11 +281,15 @@ def top_inner_products(
             own = Block.read(ids, body)
             for q_ids, q_body in zip(some["q_ids"], some["q_body"]):
                 named = np.frombuffer(q_ids, dtype="<i8")
-                for q, v in zip(named.tolist(), np.frombuffer(q_body, dtype="<i4").reshape(len(named), -1)):
-                    vec, score = own.best(v.astype(np.int64), k, q)
-                    found.append(pd.DataFrame({"query_id": q, "vec_id": vec, "score": score}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
+                for q, v in zip(named.tolist(), np.frombuffer(q_body, dtype="<i8").reshape(len(named), -1)):
+                    vec, score = own.best(v, k, q)
+                    found.append((np.full(len(vec), q, dtype=np.int64), vec, score))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, dtype=np.int64)] * 3
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
+
+    # A task for each cell: the parts are as many, so few groups share one.
+    grid = max(1, min(cells * slabs, 20_000))
+    left, right = (x.repartition(grid, "cell", "slab") for x in (left, right))
     best = left.groupBy("cell", "slab").cogroup(right.groupBy("cell", "slab")).applyInPandas(answer, result)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
