@@ -7,16 +7,24 @@ text, its links and images). A node's importance rises with the entropy of the
 presentation among pages and with that of its content: a feature that m_i of the
 node's m pages share has entropy log m_i / log m, so text on every page is worth
 nothing, text on one page everything. Importance is composed from the leaves up,
-a share DAMP going to a node's own presentation. Branches below THRESHOLD are
-removed from each page of the host.
+each part by its share of the text, a share DAMP going to a node's own presentation.
+
+A branch is removed from the pages of a host if its importance, by that of the whole
+tree, falls below a half as far as it is known: what a branch lacks counts by the
+share of the host's pages that have it, by m / (m + DOUBT), and by the whole tree's
+importance if that is below TOLD. So a branch on few pages, and any branch of a host
+with one page, stays; and so do pages that are copies of each other, whose tree tells
+nothing. Only branches on half of the pages or more can fall below a half, which bounds a
+host's tree by the paths of two mean pages.
 
 Elements whose name or class says that they are page furniture (menus, adverts,
-forms, ...) are presentation nodes of no importance on any host: their text often
+forms, ...) have little importance from the start, on any host: their text often
 differs from page to page, which entropy alone takes for content. A name counts only
 as a whole class, id or role, and says nothing of html and body or of an element whose
-child elements hold most of the page's text; the same goes for forms. Where articles (article or
-main) hold half of the text that is left or more, only they are put out; otherwise
-all of it is.
+child elements hold most of the page's text; the same goes for forms, and for any
+element around an article that holds most of it. The header of an article is part of
+it. Where articles (article or main) hold half of the text that is left or more, only
+they are put out; otherwise all of it is.
 """
 
 from __future__ import annotations
@@ -36,8 +44,8 @@ from pyspark.sql import functions as F
 from tilewright.llm.common import configure, cut, lower_ascii
 
 #: Share of a node's own presentation in its importance; importance below which a branch goes;
-#: pages of a host from which the entropies are taken to tell something.
-DAMP, THRESHOLD, MIN_PAGES = 0.1, 0.2, 4
+#: pages of which half of what they say is believed; importance of a tree from which all of it is.
+DAMP, THRESHOLD, DOUBT, TOLD = 0.1, 0.5, 2.0, 0.2
 #: Up to so many removed paths (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_PATHS = 500_000
 
@@ -93,6 +101,16 @@ def parse(page: str | None) -> Node:
     """The element tree of a page; what is open at the end is closed there."""
     root = Node(0, "", False, False)
     here, at, text = root, 0, page or ""
+    opened: dict[str, int] = {}  # elements that are open, by tag
+
+    def close(last: Node) -> Node:
+        node = here
+        while True:
+            opened[node.tag] -= 1
+            if node is last:
+                return node.parent
+            node = node.parent
+
     while at < len(text):
         lt = text.find("<", at)
         if lt < 0:
@@ -112,27 +130,30 @@ def parse(page: str | None) -> Node:
             continue
         tag, rest = m[2].lower(), m[3]
         if m[1]:
-            up = here
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                here = up.parent
+            if opened.get(tag):
+                up = here
+                while up.tag != tag:
+                    up = up.parent
+                here = close(up)
             continue
-        if (closed := _CLOSES.get(tag)) is not None:
-            up = here
+        closed = _CLOSES.get(tag)
+        if closed is not None and any(opened.get(t) for t in closed):
+            up, last = here, None
             while up is not root:
                 if up.tag in closed:
-                    here = up.parent
+                    last = up
                 elif up.tag in _WALLS:
                     break
                 up = up.parent
+            if last is not None:
+                here = close(last)
         given = {}
         if rest and rest != "/":
             for a in _ATTRIBUTE.finditer(rest):
                 given.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
         says = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".lower()
         style = _DIGITS.sub("0", " ".join(sorted(says.split())))  # numbers in names count rows, not styles
-        surely = tag in FURNITURE and tag != "form"
+        surely = tag in FURNITURE and tag != "form" and not (tag == "header" and (opened.get("article") or opened.get("main")))
         named = tag == "form" or not FURNITURE_WORDS.isdisjoint(says.split())
         node = Node(_path(here.path, f"{tag}.{style}"), tag, surely or named and tag not in ("html", "body"), surely, here)
         here.items.append(node)
@@ -146,22 +167,34 @@ def parse(page: str | None) -> Node:
             continue
         if not rest.endswith("/") or tag in BLOCKS:
             here = node
-    named = [n for n in _walk(root) if n.furniture and not n.surely]
-    if named:
-        amount = _amounts(root)
-        for n in named:
-            n.furniture = 2 * sum(amount[id(i)] for i in n.items if isinstance(i, Node)) <= amount[id(root)]
+            opened[tag] = opened.get(tag, 0) + 1
+    if any(n.furniture for n in _walk(root)):
+        _spare(root)
     return root
 
 
-def _amounts(root: Node, removed: set[int] | None = None) -> dict[int, int]:
+def _spare(root: Node) -> None:
+    """Names say nothing of what holds most of the page's text, elements nothing of what holds an article that does."""
+    plain = _amounts(root, bare=True)
+    for n in _walk(root):
+        if n.tag in ("article", "main") and 2 * plain[id(n)] >= plain[id(root)] > 0:
+            for up in _above(n):
+                up.furniture = up.surely = False
+            n.furniture = False
+    amount = _amounts(root)
+    for n in _walk(root):
+        if n.furniture and not n.surely:
+            n.furniture = 2 * sum(amount[id(i)] for i in n.items if isinstance(i, Node)) <= amount[id(root)]
+
+
+def _amounts(root: Node, removed: set[int] | None = None, bare: bool = False) -> dict[int, int]:
     """Characters of text (no white space) in each node by its id(), without furniture and branches of ``removed``.
 
-    Without ``removed``, furniture by name counts, too.
+    Without ``removed``, furniture by name counts, too; with ``bare`` all of it does.
     """
     amount: dict[int, int] = {}
     for n in reversed(list(_walk(root))):
-        if n.surely or removed is not None and (n.furniture or n.path in removed):
+        if not bare and (n.surely or removed is not None and (n.furniture or n.path in removed)):
             amount[id(n)] = 0
         else:
             amount[id(n)] = sum(len("".join(i.split())) if isinstance(i, str) else amount[id(i)] for i in n.items)
@@ -176,33 +209,45 @@ def _walk(root: Node) -> Iterator[Node]:
         stack.extend([i for i in reversed(node.items) if isinstance(i, Node)])
 
 
-def node_features(page: str | None) -> set[tuple[int, int, int, int]]:
-    """(path, parent's path, kind, feature) of a page: kind 0 presentation, 1 content; furniture is left out."""
-    out = set()
+def node_features(page: str | None) -> dict[tuple[int, int, int, int], tuple[int, int]]:
+    """(path, parent's path, kind, feature) of a page: kind 0 presentation, 1 content.
+
+    Presentations have the characters of text below their nodes and in them; contents have none.
+    """
     h = xxhash.xxh64_intdigest
-    stack = [parse(page)]
-    while stack:
-        node = stack.pop()
-        if node.furniture:
-            continue
-        children = [i for i in node.items if isinstance(i, Node)]
+    root = parse(page)
+    amount = _amounts(root, bare=True)
+    shown: dict[tuple[int, int], list] = {}  # by path: presentations, characters below and in the nodes
+    out: dict[tuple[int, int, int, int], tuple[int, int]] = {}
+    for node in _walk(root):
         tags: list[str] = []
-        for c in children:
-            if not tags or tags[-1] != c.tag:
+        for c in node.items:
+            if isinstance(c, Node) and (not tags or tags[-1] != c.tag):
                 tags.append(c.tag)
         above = node.parent.path if node.parent else 0
-        out.add((node.path, above, 0, h(" ".join(tags)) >> 1))
-        own = " ".join("".join([i if isinstance(i, str) else " " for i in node.items]).split())
+        of = shown.setdefault((node.path, above), [[], 0, 0])
+        texts = [i for i in node.items if isinstance(i, str)]
+        of[0].append(" ".join(tags))
+        of[1] += amount[id(node)]
+        of[2] += sum(len("".join(t.split())) for t in texts)
+        own = " ".join(" ".join(texts).split())
         for content in [own, *node.links] if own else node.links:
-            out.add((node.path, above, 1, h(content.encode("utf-8", "surrogatepass")) >> 1))
-        stack.extend(children)
+            out[node.path, above, 1, h(content.encode("utf-8", "surrogatepass")) >> 1] = (0, 0)
+    for (path, above), (looks, chars, own_chars) in shown.items():
+        out[path, above, 0, h("\n".join(looks)) >> 1] = (chars, own_chars)
     return out
 
 
-def main_text(page: str | None, removed: set[int]) -> str:
-    """Text of a page without furniture and the branches of ``removed``; of its articles, if they hold half of it or more."""
+def main_text(page: str | None, removed: set[int], names: bool = True) -> str:
+    """Text of a page without furniture and the branches of ``removed``; of its articles, if they hold half of it or more.
+
+    Without ``names`` the branches of ``removed`` alone are left out.
+    """
     root = parse(page)
-    articles = [n for n in _walk(root) if n.tag in ("article", "main") and not n.furniture]
+    if not names:
+        for n in _walk(root):
+            n.furniture = n.surely = False
+    articles = [] if not names else [n for n in _walk(root) if n.tag in ("article", "main") and not n.furniture]
     blocks: list[str] = []
     line: list[str] = []
 
@@ -239,12 +284,6 @@ def main_text(page: str | None, removed: set[int]) -> str:
     return "\n".join(blocks)
 
 
-def _kept(page: str | None, removed: set[int]) -> str:
-    """The main text. Where the branches are all there is (copies of one page on a host), they stay."""
-    text = main_text(page, removed)
-    return text if text or not removed else main_text(page, set())
-
-
 def _above(node: Node) -> Iterator[Node]:
     while (node := node.parent) is not None:
         yield node
@@ -261,69 +300,85 @@ def low_branches(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             # Rows of a host in a batch are added up before they are shuffled.
-            count: dict[tuple, int] = {}
+            count: dict[tuple, list[int]] = {}
             for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for f in node_features(page):
-                    count[host, *f] = count.get((host, *f), 0) + 1
+                for f, (chars, own) in node_features(page).items():
+                    c = count.setdefault((host, *f), [0, 0, 0])
+                    c[0] += 1
+                    c[1] += chars
+                    c[2] += own
             if count:
                 host, path, above, kind, feature = zip(*count)
-                columns = [pa.array(host, pa.string())] + [pa.array(x, pa.int64()) for x in (path, above, kind, feature)]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(list(count.values()), pa.int64())],
-                    names=["host", "path", "above", "kind", "feature", "n"],
-                )
+                n, chars, own = zip(*count.values())
+                columns = [pa.array(host, pa.string())] + [pa.array(x, pa.int64()) for x in (path, above, kind, feature, n, chars, own)]
+                yield pa.RecordBatch.from_arrays(columns, names=["host", "path", "above", "kind", "feature", "n", "chars", "own"])
 
     slim = pages.select(_host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    rows = slim.mapInArrow(run, "host string, path long, above long, kind long, feature long, n long")
-    each = rows.groupBy("host", "path", "above", "kind", "feature").agg(F.sum("n").alias("n"))
+    rows = slim.mapInArrow(run, "host string, path long, above long, kind long, feature long, n long, chars long, own long")
+    each = rows.groupBy("host", "path", "above", "kind", "feature").agg(*[F.sum(c).alias(c) for c in ("n", "chars", "own")])
     # Of a feature that n pages share: n log n and log n are all that the entropies need.
     log = F.log(F.col("n").cast("double"))
+    style = F.col("kind") == 0
     summed = each.groupBy("host", "path", "above").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
-        F.sum(F.when(F.col("kind") == 0, F.col("n") * log)).alias("style"),
-        F.sum(F.when(F.col("kind") == 1, log)).alias("content"),
-        F.sum(F.when(F.col("kind") == 1, F.lit(1))).alias("contents"),
+        F.sum(F.when(style, F.col("n"))).alias("m"),
+        F.sum("chars").alias("chars"),
+        F.sum("own").alias("own"),
+        F.sum(F.when(style, F.col("n") * log)).alias("style"),
+        F.sum(F.when(~style, log)).alias("content"),
+        F.sum(F.when(~style, F.lit(1))).alias("contents"),
     )
-    # Paths on few pages tell nothing; without them a host has as many rows as its templates have paths.
-    nodes = cut(summed.where(F.col("m") >= MIN_PAGES))
-    return cut(nodes.groupBy("host").applyInPandas(_judge, "host string, paths array<long>"))
+    nodes = cut(summed)
+    sizes = nodes.where("path = 0").select("host", F.col("m").alias("pages"))
+    # Paths on half of the pages or more: as many as two mean pages of the host have.
+    common = nodes.join(sizes, "host").where(2 * F.col("m") >= F.col("pages"))
+    return cut(common.groupBy("host").applyInPandas(_judge, "host string, paths array<long>"))
 
 
-def _judge(nodes: pd.DataFrame) -> pd.DataFrame:
-    """Branches of one host that matter little. A host has as many rows as its tree has paths."""
-    below: dict[int, list[int]] = {}
-    rows = {r.path: r for r in nodes.itertuples()}
-    for r in rows.values():
-        if r.path != r.above:
-            below.setdefault(r.above, []).append(r.path)
-    importance: dict[int, float] = {}
-    depth: list[int] = []
+def importances(rows: dict[int, object], below: dict[int, list[int]]) -> dict[int, float]:
+    """Importance of each path (m, style, content, contents, chars, own), composed from the leaves up."""
+    order: list[int] = []
     stack = [0] if 0 in rows else []
-    seen: set[int] = set()
     while stack:
         p = stack.pop()
-        if p in seen:
-            continue
-        seen.add(p)
-        depth.append(p)
+        order.append(p)
         stack.extend(below.get(p, []))
-    for p in reversed(depth):
+    out: dict[int, float] = {}
+    for p in reversed(order):
         r = rows[p]
         if r.m <= 1:
-            importance[p] = 1.0
+            out[p] = 1.0
             continue
         log_m = np.log(r.m)
-        style = min(1.0, max(0.0, (log_m - (r.style or 0.0) / r.m) / log_m))
-        parts = [(importance[c], min(1.0, rows[c].m / r.m)) for c in below.get(p, [])]
-        if r.contents and r.contents == r.contents:
-            parts.append((min(1.0, max(0.0, 1 - r.content / log_m / r.contents)), 1.0))
-        content = sum(i * w for i, w in parts) / max(sum(w for _, w in parts), 1e-9) if parts else 0.0
-        importance[p] = DAMP * style + (1 - DAMP) * content
+        style = min(1.0, max(0.0, 1 - r.style / r.m / log_m))
+        has_content = bool(r.contents and r.contents == r.contents)
+        content = min(1.0, max(0.0, 1 - r.content / log_m / r.contents)) if has_content else 0.0
+        # Parts by their share of the text: own content, children, and what is on few pages, which is important.
+        parts = [(content, r.own + 1.0)] if has_content else []
+        parts += [(out[c], rows[c].chars + 1.0) for c in below.get(p, [])]
+        rest = r.chars - r.own - sum(rows[c].chars for c in below.get(p, []))
+        if rest > 0:
+            parts.append((1.0, float(rest)))
+        whole = sum(w for _, w in parts)
+        out[p] = DAMP * style + (1 - DAMP) * (sum(i * w for i, w in parts) / whole if parts else 0.0)
+    return out
+
+
+def _judge(nodes: pd.DataFrame) -> pd.DataFrame:
+    """Topmost branches of one host that matter little."""
+    rows = {r.path: r for r in nodes.itertuples()}
+    below: dict[int, list[int]] = {}
+    for r in rows.values():
+        if r.path and r.above in rows:
+            below.setdefault(r.above, []).append(r.path)
+    importance = importances(rows, below)
+    whole = importance.get(0, 0.0)
     low: list[int] = []
     stack = list(below.get(0, []))
     while stack:
         p = stack.pop()
-        if importance.get(p, 1.0) < THRESHOLD and rows[p].m >= MIN_PAGES:
+        r = rows[p]
+        lacking = (1 - min(1.0, importance[p] / whole)) * min(1.0, whole / TOLD) if whole > 0 else 0.0
+        if 1 - lacking * r.m / r.pages * r.m / (r.m + DOUBT) < THRESHOLD:
             low.append(p)
         else:
             stack.extend(below.get(p, []))
@@ -334,9 +389,9 @@ def site_style_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "u
     """Id, url, ``text`` (main text) and ``n_chars`` (long) of every row.
 
     Null or empty html gives an empty text. Null urls and urls without ``://`` are
-    one host, the empty one. Paths on fewer than MIN_PAGES pages of a host lose furniture
-    only, and a page that the removal would empty keeps its text. Repeated rows stay and count as pages of their own; an empty table gives
-    an empty table; other columns are not read.
+    one host, the empty one. A host's only page, and pages that are all copies of each
+    other, lose furniture only. Repeated rows stay and count as pages of their own; an
+    empty table gives an empty table; other columns are not read.
     """
     low = low_branches(pages, url_col, html_col).where(F.size("paths") > 0)
     few = (low.agg(F.sum(F.size("paths") + 8)).first()[0] or 0) <= BROADCAST_PATHS
@@ -348,7 +403,7 @@ def site_style_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "u
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [_kept(h, set(p or ())) for h, p in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            texts = [main_text(h, set(p or ())) for h, p in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["id", "url", "text", "n_chars"],
