@@ -109,7 +109,7 @@ def test_importances_against_brute_force(spark):
             below = [p for p in paths if p != path and above[p] == path]
             parts = ([(content, text + 1)] if contents else []) + [(importance(p), leaf(p)[3] + 1) for p in below]
             mean = sum(i * w for i, w in parts) / sum(w for _, w in parts) if parts else 0.0
-            return site_style.DAMP * style + (1 - site_style.DAMP) * mean
+            return max(mean, site_style.DAMP * style + (1 - site_style.DAMP) * mean)
 
         table = []
         for p in paths:

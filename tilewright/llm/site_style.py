@@ -7,7 +7,8 @@ text, its links and images). A node's importance rises with the entropy of the
 presentation among pages and with that of its content: a feature that m_i of the
 node's m pages share has entropy log m_i / log m, so text on every page is worth
 nothing, text on one page everything. Importance is composed from the leaves up,
-each part by its share of the text, a share DAMP going to a node's own presentation.
+each part by its share of the text, a share DAMP going to a node's own presentation
+where that varies more than the content.
 
 A branch is removed from the pages of a host if its importance, by that of the whole
 tree, falls below a half as far as it is known: what a branch lacks counts by the
@@ -359,7 +360,8 @@ def importances(rows: dict[int, object], below: dict[int, list[int]]) -> dict[in
         if rest > 0:
             parts.append((1.0, float(rest)))
         whole = sum(w for _, w in parts)
-        out[p] = DAMP * style + (1 - DAMP) * (sum(i * w for i, w in parts) / whole if parts else 0.0)
+        mean = sum(i * w for i, w in parts) / whole if parts else 0.0
+        out[p] = mean + DAMP * max(0.0, style - mean)
     return out
 
 
