@@ -3,9 +3,11 @@
 import random
 
 import corpus_pipeline
+import duckdb
+import pyarrow as pa
 
 from tests.llm.test_operators import DOCS, words
-from tilewright.llm import sentence_spans
+from tilewright.llm import oracles, sentence_spans
 
 
 def spans(rng, sizes):
@@ -59,6 +61,22 @@ def test_stage_removes_passages_planted_in_mid_sentence(spark):
     assert sum(n >= 15 for n in lost) >= 38 and max(lost) <= 56
 
 
+def test_scripts_without_blanks_have_words(spark):
+    rng = random.Random(4)
+
+    def han(n):
+        return "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(n)) + "。"
+
+    shared = han(12) + han(9)
+    rows = [han(20) + shared + han(11), han(8) + shared + han(30), han(40)]
+    docs = spark.createDataFrame([(i, t, None, "s", 1, "x", None, 1) for i, t in enumerate(rows)], DOCS)
+    got = {r["doc_id"]: r["text"] for r in sentence_spans.substring_dedup(docs).collect()}
+    assert got[0] == rows[0] and got[2] == rows[2] and got[1] == rows[1].replace(shared, "")
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": range(3), "text": rows}))
+    assert dict((i, t) for i, t, _ in con.sql(oracles.sentence_spans_sql()).fetchall()) == got
+
+
 def test_pieces_make_up_the_text():
     for text in ["", " ", "a, b;c\n\nd. e", "é日本。語 x, ", "  lead " + "w x " * 60]:
         assert "".join(sentence_spans.pieces(text)) == text

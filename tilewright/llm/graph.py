@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,21 @@ from tilewright.llm.common import cut
 
 #: Where the tables of a round are kept until it ends.
 KEPT = StorageLevel.DISK_ONLY
+#: Links that a node of a task's forest has to nodes after it, at most.
+FAN = 16
+
+
+def forest(nodes: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) that connect the nodes of each root: a tree of small degree, so that no node is a hub.
+
+    The first node of a tree is linked to itself.
+    """
+    order = np.lexsort((nodes, roots))
+    nodes, roots = nodes[order], roots[order]
+    first = np.flatnonzero(np.r_[True, roots[1:] != roots[:-1]]) if len(nodes) else np.zeros(0, dtype=np.int64)
+    start = np.repeat(first, np.diff(np.r_[first, len(nodes)]))
+    place = np.arange(len(nodes)) - start
+    return nodes, nodes[start + np.maximum(place - 1, 0) // FAN]
 
 
 def connected_components(edges: DataFrame, rounds: int = 64) -> DataFrame:

@@ -148,6 +148,7 @@ def sentence_spans_sql(min_words: int = sentence_spans.MIN_WORDS, long_words: in
     white = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
     end = rf"(?:[.!?。！？]+[\"'')\]]*{white}+|[。！？]+|\n+){white}*"
     ahead = max(min_words, sentence_spans.MIN_SENTENCES)
+    alone = sentence_spans.ALONE
     return f"""
 WITH texts AS (
   SELECT DISTINCT doc_id, text FROM documents WHERE text <> ''
@@ -157,7 +158,7 @@ WITH texts AS (
 ), plain AS (
   SELECT doc_id, text, pos, regexp_replace(part, '^{white}+|{white}+$', '', 'g') AS plain FROM parts
 ), kept AS (
-  SELECT *, length(plain) - length(replace(plain, ' ', '')) + 1 AS size,
+  SELECT *, 2 * length(plain) - length(replace(plain, ' ', '')) - length(regexp_replace(plain, '[{alone}]', '', 'g')) + 1 AS size,
          row_number() OVER (PARTITION BY doc_id, text ORDER BY pos) AS i
   FROM plain WHERE plain <> ''
 ), ahead AS (

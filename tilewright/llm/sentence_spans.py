@@ -2,9 +2,11 @@
 
 Every run of several consecutive sentences is hashed: from each sentence on, the
 fewest that are at least two and have at least ``min_words`` words (a sentence of
-``long_words`` words is long enough alone). Runs are joined globally by hash; the
+``long_words`` words is long enough alone). Words are what blanks separate, and single
+characters of scripts without blanks. Runs are joined globally by hash; the
 first is the one with the least (id, text hash, place), and sentences covered by
-any run that is not the first of its hash are removed.
+any run that is not the first of its hash are removed. Runs count as equal if 96 bits
+of hashes are: 64 bring them together, 32 more are compared before anything goes.
 """
 
 from __future__ import annotations
@@ -28,8 +30,11 @@ _END = re.compile(r"(?:[.!?。！？]+[\"')\]]*\s+|[。！？]+|\n+)\s*")
 #: Marks that end a piece of a sentence, and one of how many words ends one by its hash.
 _PART, _WORD, CUT = tuple(",;:，；：、"), re.compile(r"(\S+)\s*"), 8
 MIN_SENTENCES, MIN_WORDS, LONG_WORDS = 2, 15, 25
-#: Up to so many repeated hashes (8 bytes each) are broadcast; more are joined by a shuffle.
-BROADCAST_HASHES = 2_000_000
+#: Characters that are words alone (fixed ranges of Unicode: South-East Asian, Kana, Han).
+ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_ALONE = re.compile(f"[{ALONE}]")
+#: Up to so many repeated hashes are broadcast (some 40 bytes each in a task's table); more are joined by a shuffle.
+BROADCAST_HASHES = 1_000_000
 _SEED, _BASE = 9, 0x9E3779B97F4A7C15
 
 
@@ -65,23 +70,25 @@ def pieces(text: str) -> list[str]:
 def runs(
     text: str, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS, both_ends: bool = False, fine: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First sentence, end sentence (exclusive) and hash of every run of a text.
+    """First sentence, end sentence (exclusive) and hashes (64 and 32 bits in two columns) of every run of a text.
 
     With ``both_ends`` these are the fewest sentences up to each sentence, too, so the
     last sentences of a repeated span are in a run as the first ones are. With ``fine``,
     ``pieces`` take the place of sentences.
     """
     empty = np.zeros(0, dtype=np.int64)
-    h64, kept, words, hashes = xxhash.xxh64_intdigest, [], [0], []
+    none = np.zeros((0, 2), dtype=np.int64)
+    h128, kept, words, hashes = xxhash.xxh3_128_digest, [], [0], []
+    alone = _ALONE.search(text) is not None if not text.isascii() else False
     n_parts = 0
     for n_parts, part in enumerate(pieces(text) if fine else sentences(text), 1):
         if plain := part.strip():  # white space alone is no sentence of a run
             kept.append(n_parts - 1)
-            words.append(plain.count(" ") + 1)
-            hashes.append(h64(plain.encode("utf-8", "surrogatepass"), _SEED))
+            words.append(plain.count(" ") + 1 + (len(_ALONE.findall(plain)) if alone else 0))
+            hashes.append(h128(plain.encode("utf-8", "surrogatepass"), _SEED))
     n = len(kept)
     if not n:
-        return empty, empty, empty
+        return empty, empty, none
     size = np.array(words[1:])
     words = np.cumsum(words)
     start = np.arange(n)
@@ -97,9 +104,11 @@ def runs(
         start, end = np.unique(np.stack([start, end]), axis=1)
     # The hash of a run: its sentences' hashes as digits of a number modulo 2**64.
     up = _powers(n)
-    prefix = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(np.array(hashes, dtype=np.uint64) * up[0], dtype=np.uint64)])
-    keys = (prefix[end] - prefix[start]) * up[1][start]
+    own = np.frombuffer(b"".join(hashes), dtype=">u8").reshape(n, 2).astype(np.uint64)
+    prefix = np.concatenate([np.zeros((1, 2), dtype=np.uint64), np.cumsum(own * up[0][:, None], axis=0, dtype=np.uint64)])
+    keys = (prefix[end] - prefix[start]) * up[1][start][:, None]
     keys ^= keys >> np.uint64(32)
+    keys[:, 1] &= np.uint64(0x7FFFFFFF)
     place = np.array([*kept, n_parts])
     return place[start], place[end - 1] + 1, keys.view(np.int64)
 
@@ -126,7 +135,7 @@ def _text_hash(text_col: str) -> Column:
 def run_table(
     docs: DataFrame, id_col: str, text_col: str, min_words: int, long_words: int, both_ends: bool = False, fine: bool = False
 ) -> DataFrame:
-    """``id``, ``th`` (hash of the whole text), ``first``, ``last`` and ``h`` of every run."""
+    """``id``, ``th`` (hash of the whole text), ``first``, ``last``, ``h`` and ``more`` (the hashes) of every run."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,13 +146,13 @@ def run_table(
                 continue
             at = pa.array(np.repeat(np.arange(len(n)), n))
             first, last, h = (np.concatenate(x) for x in zip(*found))
-            columns = [pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(h)]
+            columns = [pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1], pa.int32())]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(at), b.column(1).take(at), *columns], names=["id", "th", "first", "last", "h"]
+                [b.column(0).take(at), b.column(1).take(at), *columns], names=["id", "th", "first", "last", "h", "more"]
             )
 
     slim = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("th"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, f"id {kind}, th long, first int, last int, h long")
+    return slim.mapInArrow(run, f"id {kind}, th long, first int, last int, h long, more int")
 
 
 def removals(
@@ -162,8 +171,8 @@ def removals(
     few = repeated.count() <= BROADCAST_HASHES
     again = table(every.join(F.broadcast(repeated) if few else repeated, "h", "left_semi"), "runs-repeated")
     where = F.struct("id", "th", "first")
-    firsts = cut(again.groupBy("h").agg(F.min(where).alias("origin")))
-    later = again.join(firsts, "h").where(
+    firsts = cut(again.groupBy("h", "more").agg(F.min(where).alias("origin")))
+    later = again.join(firsts, ["h", "more"]).where(
         ~(F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("th") == F.col("origin.th")) & (F.col("first") == F.col("origin.first")))
     )
     # A text's runs are as many as its sentences at most, or twice as many.

@@ -26,17 +26,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import configure, cut, table
-from tilewright.llm.graph import connected_components
+from tilewright.llm.graph import connected_components, forest
 
-#: Seed of XXH64, word pattern's white space, words in a shingle (fixed values).
+#: Seed of XXH64, words in a shingle (fixed values).
 SEED = 42
-SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 SHINGLE = 3
 #: Generator polynomial of the binary Golay code, x^11+x^9+x^7+x^6+x^5+x+1 (fixed value).
 GOLAY = 0b101011100011
 BITS, CHECK, RADIUS = 23, 11, 3
 #: First bit of each code block in the fingerprint.
 BLOCKS = (0, 23)
+#: Fingerprints that a task replicates, about 60 times each.
+DEALT = 50_000
 #: A group of up to so many fingerprints is compared pair by pair, in blocks of rows.
 BRUTE = 8192
 
@@ -200,10 +201,10 @@ def _linked(group: np.ndarray, threshold: int) -> Iterator[tuple[int, int]]:
         yield from zip(group[order[same]].tolist(), group[order[same + 1]].tolist())
 
 
-def links(distinct: DataFrame, threshold: int = 2) -> DataFrame:
+def links(distinct: DataFrame, threshold: int = 2, rows: int | None = None) -> DataFrame:
     """Edges ``a``, ``b`` (signed longs) that connect what the links of ``fp`` connect.
 
-    ``distinct`` has each fingerprint once. A task returns a spanning forest of the
+    ``distinct`` has each fingerprint once, ``rows`` of them at most if that is known. A task returns a spanning forest of the
     links it found, which are as many rows as it has fingerprints at most.
     """
 
@@ -249,13 +250,14 @@ def links(distinct: DataFrame, threshold: int = 2) -> DataFrame:
                 held = [(anchor[last:], fp[last:])]
         if held:
             work(*(np.concatenate(x) for x in zip(*held)))
-        nodes = np.array(list(parent), dtype=np.uint64)
+        nodes = np.array(list({*parent, *parent.values()}), dtype=np.uint64)
         roots = np.array([_find(parent, int(x)) for x in nodes], dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes.view(np.int64)), pa.array(roots.view(np.int64))], names=["a", "b"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in forest(nodes, roots)], names=["a", "b"])
 
-    dealt = distinct.select("fp").mapInArrow(replicate, "anchor long, fp long")
+    # Parts for what the replicas will be, not for the few fingerprints that they are made of.
+    n = distinct.count() if rows is None else rows
+    parts = max(distinct.sparkSession.sparkContext.defaultParallelism, -(-n // DEALT))
+    dealt = distinct.select("fp").repartition(parts).mapInArrow(replicate, "anchor long, fp long")
     dealt = dealt.repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(compare, "a long, b long")
 
@@ -281,7 +283,7 @@ def simhash_components(
     """
     prints = table(fingerprints(docs, id_col, text_col, text_hash), "simhash-fp")
     smallest = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    edges = links(smallest, threshold).where("a <> b")
+    edges = links(smallest, threshold, prints.count()).where("a <> b")
     edges = edges if more is None else edges.unionByName(more.select("a", "b"))
     roots = connected_components(edges).withColumnRenamed("node", "fp")
     # Only fingerprints with links are in roots; the others are their own component.
