@@ -35,7 +35,7 @@ SAMPLE, SAMPLE_FEATURES = 6000, 40_000_000
 #: Weight of the L2 shrinkage; standard deviations from which a log-count ratio is told from chance.
 SHRINK, SURE = 1.0, 2.5
 #: Features that are gone through at a time in the fit, its rounds, and those of the power iteration.
-BLOCK, ROUNDS, POWER = 2_000_000, 60, 8
+BLOCK, ROUNDS, POWER = 1_000_000, 60, 8
 #: Up to so many labelled ids (16 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: A score from which a text is toxic.
@@ -176,11 +176,17 @@ def feature_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
 
     counted = rows.select("text", "toxic").mapInArrow(run, "feature int, toxic long, clean long")
     summed = counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # A row for each feature: 2**HASH_BITS at most.
-    got = summed.toPandas()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            numbers = np.stack([c.to_numpy(zero_copy_only=False).astype("<i8") for c in b.columns])
+            yield pa.RecordBatch.from_arrays([pa.array([numbers.tobytes()], pa.binary())], names=["numbers"])
+
+    # Three numbers for each feature, of which there are 2**HASH_BITS at most, as bytes.
     has = np.zeros((2, size + 1), dtype=np.int64)
-    place = got["feature"].to_numpy(dtype=np.int64)
-    has[1, place], has[0, place] = got["toxic"].to_numpy(dtype=np.int64), got["clean"].to_numpy(dtype=np.int64)
+    for r in summed.mapInArrow(pack, "numbers binary").collect():
+        place, *both = np.frombuffer(r["numbers"], dtype="<i8").reshape(3, -1)
+        has[1, place], has[0, place] = both
     return has[1, :size], has[0, :size], int(has[1, size]), int(has[0, size])
 
 
@@ -207,8 +213,12 @@ def sampled(rows: DataFrame, sample: int, ratio: np.ndarray) -> tuple[list[np.nd
         if total > SAMPLE_FEATURES:
             break
         last = r["key"]
-    got = each.where(F.col("key") <= last).orderBy("key").select("toxic", "features").collect() if last is not None else []
-    return [np.frombuffer(r["features"], dtype="<i4") for r in got], np.array([r["toxic"] for r in got], dtype=float)
+    if last is None:
+        return [], np.zeros(0)
+    # A partition at a time, as it is, and in order here.
+    parts = each.where(F.col("key") <= last).select("key", "toxic", "features").toLocalIterator()
+    got = sorted(((r["key"], r["toxic"], bytes(r["features"])) for r in parts))
+    return [np.frombuffer(x, dtype="<i4") for *_, x in got], np.array([y for _, y, _ in got], dtype=float)
 
 
 def train(
