@@ -49,8 +49,59 @@ def test_components_ties_and_diagonals():
 
 
 def test_border_ring_is_half_open():
-    ring = K.border_ring(np.ones((10, 10), dtype=bool), 0.05)
+    full = np.ones((10, 10), dtype=bool)
+    ring = K.border_ring(full, 0.2)
     assert ring.sum() == 81 - 49 and not ring[9].any() and not ring[:, 9].any()
+    # int(9 * 0.05) is 0: no ring at all. A share of a half or more is the whole box.
+    assert not K.border_ring(full, 0.05).any() and K.border_ring(np.ones((41, 60), dtype=bool), 0.05).sum() == 40 * 59 - 36 * 55
+    assert K.border_ring(full, 0.6).sum() == 81 and not K.border_ring(~full).any()
+
+
+def plain_dilate(mask, radius, ellipse):
+    out = np.zeros_like(mask)
+    for y, x in zip(*np.nonzero(mask)):
+        for dy in range(-radius, radius + 1):
+            reach = round((radius**2 - dy**2) ** 0.5) if ellipse else radius
+            if 0 <= y + dy < mask.shape[0]:
+                out[y + dy, max(0, x - reach) : x + reach + 1] = True
+    return out
+
+
+def test_dilation_equals_the_definition():
+    rng = np.random.default_rng(7)
+    for radius in (0, 1, 2, 3, 9, 20):
+        for shape in ((1, 1), (7, 12), (15, 4)):
+            mask = rng.random(shape) > 0.8
+            for ellipse in (False, True):
+                assert (K.dilate(mask, radius, ellipse) == plain_dilate(mask, radius, ellipse)).all()
+
+
+def test_min_max_rounds():
+    assert K.min_max(np.array([[10, 11, 12, 14]], dtype=np.uint8)).tolist() == [[0, 64, 128, 255]]
+    assert K.min_max(np.full((2, 2), 9, dtype=np.uint8)).tolist() == [[0, 0], [0, 0]]
+
+
+def test_drawings():
+    page = np.full((30, 30), 200, dtype=np.uint8)
+    mask = box((30, 30), (5, 20, 5, 22))
+    traced = K.overlaid(page, mask, 20.0)
+    assert (traced[5, 10] == K.RED).all() and (traced[12, 12] == 200).all() and traced.shape == (30, 30, 3)
+    plain = K.overlaid_plain(page, mask)
+    assert plain[12, 12].tolist() == [200, 255, 200] and (plain[5, 10] == [0, 80, 255]).all()
+    drawn = K.labelled(page, [np.array([[5, 5], [20, 5], [20, 20], [5, 20]])])
+    assert drawn[12, 12].tolist() == [110, 200, 110] and (drawn[5, 12] == K.RED).all() and (drawn[25, 25] == 200).all()
+    outer, inner = K.outer_inner(page, mask, 150, 2, 0.2)
+    out = K.classified(page, mask, outer, inner, 20.0)
+    assert set(map(tuple, out.reshape(-1, 3).tolist())) <= {(200, 200, 200), K.RED, K.GREEN, K.CYAN}
+    assert not K.traced(np.zeros((5, 5), dtype=bool)).any()
+
+
+def test_sizes_of_other_kinds():
+    a = np.arange(20.0).reshape(4, 5)
+    assert (K.sampled_linear(a, 4, 5) == a).all() and np.allclose(K.sampled_linear(np.full((3, 3), 7.0), 8, 2), 7)
+    assert np.allclose(K.sampled_linear(np.array([[0.0, 4.0]]), 1, 4), [[0, 1, 3, 4]])
+    b = a.astype(np.uint8)
+    assert (K.resized_cubic(b, 4, 5) == b).all() and (K.resized_cubic(np.full((9, 9, 3), 40, dtype=np.uint8), 4, 20) == 40).all()
 
 
 def test_outer_and_inner_part_the_mask():

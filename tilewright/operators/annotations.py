@@ -15,9 +15,14 @@ BROADCAST_CLASSES = 10_000
 def class_map(categories: DataFrame, only: str | None = None) -> DataFrame:
     """``category_id``, ``name`` and dense ``class_id`` of the categories that count.
 
-    Category 0 is the parent and doesn't count; ``only`` names the single one that does.
+    Category 0 is the parent and doesn't count; ``only`` names the single one that does:
+    the first of that name in the order of ids. That there is none is an error.
     """
-    some = categories.where(F.col("name") == only) if only else categories.where("id > 0")
+    some = categories.where("id > 0")
+    if only:
+        some = categories.where(F.col("name") == only).orderBy("id").limit(1)
+        if some.isEmpty():
+            raise ValueError(f"there is no category {only!r}")
     # A class table has a row for each class of the data set, so one task orders it.
     rank = F.row_number().over(W.orderBy("id")) - 1
     return some.select(F.col("id").alias("category_id"), "name", rank.alias("class_id"))
@@ -35,8 +40,18 @@ def annotated_images(images: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def large_enough(shapes: DataFrame, min_area: float, polygon: str = "polygon") -> DataFrame:
-    """Shapes of three vertices and ``min_area`` at least."""
-    return shapes.where((F.size(polygon) >= 3) & (G.area(F.col(polygon)) >= min_area))
+    """Shapes of three vertices and ``min_area`` at least, with their ``area``."""
+    return shapes.withColumn("area", G.area(F.col(polygon))).where((F.size(polygon) >= 3) & (F.col("area") >= min_area))
+
+
+def included(objects: DataFrame, rects: bool = True, slabs: bool = True) -> DataFrame:
+    """Objects of the kinds that are wanted."""
+    return objects.where(F.col("kind").isin(*[k for k, want in (("rect", rects), ("slab", slabs)) if want]))
+
+
+def object_totals(objects: DataFrame) -> DataFrame:
+    """Rects and slabs over all floors, one row."""
+    return objects.select(F.count_if(F.col("kind") == "rect").alias("rects"), F.count_if(F.col("kind") == "slab").alias("slabs"))
 
 
 def region_box(shapes: DataFrame, pad: float, polygon: str = "polygon") -> DataFrame:

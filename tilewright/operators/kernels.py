@@ -14,8 +14,12 @@ def gray(image: np.ndarray) -> np.ndarray:
 
 
 def min_max(image: np.ndarray) -> np.ndarray:
-    low, high = int(image.min()), int(image.max())
-    return np.zeros_like(image) if high == low else ((image.astype(float) - low) * 255.0 / (high - low)).astype(np.uint8)
+    """Values spread over 0..255, rounded half to even in single precision; an image of one value becomes 0."""
+    low, high = int(image.min(initial=255)), int(image.max(initial=0))
+    if high <= low:
+        return np.zeros_like(image)
+    factor = 255.0 / (high - low)
+    return np.rint(image.astype(np.float32) * np.float32(factor) + np.float32(-low * factor)).clip(0, 255).astype(np.uint8)
 
 
 def otsu(image: np.ndarray) -> int:
@@ -60,14 +64,22 @@ def adaptive_threshold(image: np.ndarray, size: int, c: int, invert: bool = Fals
 
 
 def dilate(mask: np.ndarray, radius: int, ellipse: bool = False) -> np.ndarray:
-    """Set wherever the window around a pixel holds a set one."""
+    """Set wherever the window around a pixel holds a set one: a square, or rows of an ellipse."""
     h, w = mask.shape
+
+    def along(rows: np.ndarray, reach: int) -> np.ndarray:
+        """Set wherever a set one is within reach in the same row, by running counts."""
+        upto = np.pad(np.cumsum(rows, axis=1, dtype=np.int32), ((0, 0), (1, 0)))
+        x = np.arange(rows.shape[1])
+        return upto[:, np.minimum(x + reach + 1, rows.shape[1])] > upto[:, np.maximum(x - reach, 0)]
+
+    plain = mask.astype(bool)
+    if not ellipse:
+        return along(along(plain, radius).T, radius).T
     out = np.zeros((h, w), dtype=bool)
-    padded = np.pad(mask.astype(bool), radius)
     for dy in range(-radius, radius + 1):
-        reach = int(round(np.sqrt(radius**2 - dy**2))) if ellipse else radius
-        for dx in range(-reach, reach + 1):
-            out |= padded[radius + dy : radius + dy + h, radius + dx : radius + dx + w]
+        wide = along(plain, int(round(np.sqrt(radius**2 - dy**2))))
+        out[max(0, -dy) : h - max(0, dy)] |= wide[max(0, dy) : h - max(0, -dy)] if abs(dy) < h else False
     return out
 
 
@@ -118,9 +130,11 @@ def contours(mask: np.ndarray) -> list[np.ndarray]:
     around = [(0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1), (-1, 0), (-1, 1)]
     labels = np.pad(components(mask), 1)
     out = []
-    for k in range(1, labels.max() + 1):
-        ys, xs = np.nonzero(labels == k)
-        start = here = (int(ys[0]), int(xs[0]))
+    names, firsts = np.unique(labels, return_index=True)
+    for k, first_place in zip(names.tolist(), firsts.tolist()):
+        if not k:
+            continue
+        start = here = divmod(first_place, labels.shape[1])
         path, direction, first = [], 6, None
         while True:
             for turn in range(8):
@@ -222,7 +236,7 @@ def label_styled(image: np.ndarray, polygons: list[np.ndarray], edge: int = 1, r
     out[inside] = 255
     out[outlined(out.shape, polygons, edge)] = 0
     if ring > 0:
-        out[dilate(inside, ring) & ~inside] = 255
+        out[dilate(inside, ring, ellipse=True) & ~inside] = 255
     return out
 
 
@@ -281,16 +295,15 @@ def auto_crop(image: np.ndarray, pad: int = 20, below: int = 230) -> tuple[int,
 
 
 def border_ring(mask: np.ndarray, share: float = 0.05) -> np.ndarray:
-    """The ring along the inside of the mask's box, one pixel wide at least."""
+    """The ring along the inside of the mask's box, of whole pixels; none if ``share`` of the shorter side is less than one."""
     out = np.zeros(mask.shape, dtype=bool)
     ys, xs = np.nonzero(mask)
     if not len(ys):
         return out
     y1, y2, x1, x2 = int(ys.min()), int(ys.max()), int(xs.min()), int(xs.max())
-    wide = max(1, int(min(y2 - y1, x2 - x1) * share))
-    out[y1:y2, x1:x2] = True
-    if y2 - y1 > 2 * wide and x2 - x1 > 2 * wide:
-        out[y1 + wide : y2 - wide, x1 + wide : x2 - wide] = False
+    if wide := int(min(y2 - y1, x2 - x1) * share):
+        out[y1:y2, x1:x2] = True
+        out[y1 + wide : max(y1 + wide, y2 - wide), x1 + wide : max(x1 + wide, x2 - wide)] = False
     return out
 
 
@@ -304,5 +317,84 @@ def outer_inner(image: np.ndarray, mask: np.ndarray, white: int = 220, reach: in
 
 
 def traced(mask: np.ndarray, min_area: float = 200.0, ratio: float = 0.01) -> np.ndarray:
-    """A mask's outlines as lines."""
-    return outlined(mask.shape, mask_polygons(mask, min_area, ratio), 2)
+    """Simplified outlines of a mask's parts of ``min_area`` at least, as lines; shapes of two vertices are lines, too."""
+    rings = [c for c in contours(mask) if len(c) and contour_area(c) >= min_area]
+    return outlined(mask.shape, [simplified(c, ratio * contour_length(c)) for c in rings], 2)
+
+
+def three_channels(image: np.ndarray) -> np.ndarray:
+    """A gray image as BGR."""
+    return image if image.ndim == 3 else np.repeat(image[..., None], 3, axis=2)
+
+
+def painted(image: np.ndarray, where: np.ndarray, color: tuple[int, int, int]) -> np.ndarray:
+    """A BGR copy of an image with some pixels in a color."""
+    out = three_channels(image).copy()
+    out[where] = color
+    return out
+
+
+#: Colors of drawings, as BGR (fixed values).
+RED, GREEN, CYAN = (0, 0, 255), (0, 200, 0), (255, 255, 0)
+
+
+def overlaid(image: np.ndarray, mask: np.ndarray, min_area: float = 200.0, ratio: float = 0.01) -> np.ndarray:
+    """A page with the traced outlines of a mask in red."""
+    return painted(image, traced(mask, min_area, ratio), RED)
+
+
+def overlaid_plain(image: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """A page with a mask's untraced outlines in red and its parts tinted green."""
+    lines = painted(image, outlined(mask.shape, contours(mask), 3), RED)
+    tint = painted(np.zeros(mask.shape, dtype=np.uint8), mask.astype(bool), GREEN)
+    return blended(lines, tint, 1.0, 0.4)
+
+
+def labelled(image: np.ndarray, polygons: list[np.ndarray]) -> np.ndarray:
+    """A page with label polygons tinted green and outlined in red."""
+    page, inside = three_channels(image), np.zeros(image.shape[:2], dtype=bool)
+    for p in polygons:
+        inside |= filled(inside.shape, [p])
+    return painted(blended(page, painted(page, inside, GREEN), 0.55, 0.45), outlined(inside.shape, polygons, 2), RED)
+
+
+def classified(image: np.ndarray, mask: np.ndarray, outer: np.ndarray, inner: np.ndarray, min_area: float = 200.0) -> np.ndarray:
+    """A page with the outlines of a mask's parts: green where outer, red where inner, and its box in cyan."""
+    lines = outlined(mask.shape, [c for c in contours(mask) if len(c) and contour_area(c) >= min_area], 2)
+    out = painted(painted(image, lines & outer, GREEN), lines & inner, RED)
+    ys, xs = np.nonzero(mask)
+    if len(ys):
+        box = np.array([[xs.min(), ys.min()], [xs.max(), ys.min()], [xs.max(), ys.max()], [xs.min(), ys.max()]])
+        out = painted(out, outlined(mask.shape, [box], 2), CYAN)
+    return out
+
+
+def sampled_linear(image: np.ndarray, h: int, w: int) -> np.ndarray:
+    """A float image at another size, linear between pixel centers; borders repeat."""
+
+    def places(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, n - 1)
+        low = np.floor(at).astype(int)
+        return low, np.minimum(low + 1, n - 1), at - low
+
+    y0, y1, fy = places(image.shape[0], h)
+    x0, x1, fx = places(image.shape[1], w)
+    rows = image[y0] * (1 - fy)[:, None] + image[y1] * fy[:, None]
+    return rows[:, x0] * (1 - fx) + rows[:, x1] * fx
+
+
+def resized_cubic(image: np.ndarray, h: int, w: int) -> np.ndarray:
+    """An image at another size by cubic convolution (a = -0.5), widened when it shrinks; weights beyond the border go."""
+
+    def weights(n: int, m: int) -> np.ndarray:
+        scale = max(1.0, n / m)
+        d = np.abs((np.arange(n) + 0.5)[None, :] - ((np.arange(m) + 0.5) * n / m)[:, None]) / scale
+        near = (1.5 * d - 2.5) * d * d + 1
+        far = ((-0.5 * d + 2.5) * d - 4) * d + 2
+        k = np.where(d < 1, near, np.where(d < 2, far, 0.0))
+        return k / k.sum(axis=1, keepdims=True)
+
+    flat = image.reshape(image.shape[0], image.shape[1], -1).astype(float)
+    out = np.einsum("ij,jkc->ikc", weights(image.shape[0], h), flat)
+    out = np.einsum("ij,kjc->kic", weights(image.shape[1], w), np.floor(out.clip(0, 255) + 0.5))
+    return np.floor(out.clip(0, 255) + 0.5).astype(np.uint8).reshape(h, w, *image.shape[2:])

@@ -6,6 +6,9 @@ bucket, and buckets' counts (a small table) give the numbers before each.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,17 +20,24 @@ ID_STEP = 65_536
 
 
 def numbered(rows: DataFrame, bucket: Column, order: list[str], name: str = "idx", of: list[str] | None = None) -> DataFrame:
-    """``name``: the number, from 0, of each row in (bucket, order), in each group ``of``."""
+    """``name``: the number, from 0, of each row in (bucket, order), in each group ``of``. Null keys are numbered, too, first."""
     of = of or []
     keyed = rows.withColumn("__bucket", bucket)
     counts = keyed.groupBy(*of, "__bucket").agg(F.count(F.lit(1)).alias("__rows"))
     before = W.partitionBy(*of).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select(*of, "__bucket", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
     rank = F.row_number().over(W.partitionBy(*of, "__bucket").orderBy(*order))
-    ranked = keyed.withColumn("__rank", rank).join(starts, [*of, "__bucket"])
+    ranked = _with_starts(keyed.withColumn("__rank", rank), starts, [*of, "__bucket"])
     return ranked.withColumn(name, F.col("__start") + F.col("__rank") - 1).drop("__bucket", "__start", "__rank")
 
 
+def _with_starts(rows: DataFrame, starts: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``__start`` of their bucket; nulls are keys like any other."""
+    named = starts.select(*[F.col(k).alias(f"__of{i}") for i, k in enumerate(keys)], "__start")
+    same = [F.col(k).eqNullSafe(F.col(f"__of{i}")) for i, k in enumerate(keys)]
+    return rows.join(named, reduce(and_, same)).drop(*[f"__of{i}" for i in range(len(keys))])
+
+
 def by_id(rows: DataFrame, key: str, order: list[str] | None = None, name: str = "idx", of: list[str] | None = None) -> DataFrame:
     """Numbers in the order of a whole-number key."""
     return numbered(rows, F.floor(F.col(key) / ID_STEP), order or [key], name, of)
@@ -78,10 +88,15 @@ def running_cutoff(rows: DataFrame, key: str, amount: str, cap: int) -> DataFram
     ahead = W.orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select("__bucket", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__start"))
     inside = W.partitionBy("__bucket").orderBy(key).rowsBetween(W.unboundedPreceding, 0)
-    run = keyed.join(starts, "__bucket").withColumn("running", F.col("__start") + F.sum(amount).over(inside))
+    run = _with_starts(keyed, starts, ["__bucket"]).withColumn("running", F.col("__start") + F.sum(amount).over(inside))
     return run.where(F.col("running") - F.col(amount) < cap).drop("__bucket", "__start")
 
 
+def fraction(rows: DataFrame, key: str, share: float, seed: int = 13) -> DataFrame:
+    """A reproducible share of the rows, by a draw for each key."""
+    return rows.where(unit_interval(seed, F.col(key)) < share)
+
+
 def round_robin(rows: DataFrame, key: str, workers: int) -> DataFrame:
     """``worker``: the row's number modulo the workers."""
     return by_id(rows, key).withColumn("worker", F.pmod(F.col("idx"), F.lit(workers)).cast("int"))

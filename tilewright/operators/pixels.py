@@ -12,9 +12,11 @@ KEY = ["image_id", "y", "x"]
 
 
 def min_max(pixels: DataFrame, value: str = "v") -> DataFrame:
-    """Values spread over 0..255 in each image; an image of one value becomes 0."""
+    """Values spread over 0..255 in each image, rounded half to even in single precision; an image of one value becomes 0."""
     ends = pixels.groupBy("image_id").agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    spread = F.when(F.col("__hi") > F.col("__lo"), F.floor((F.col(value) - F.col("__lo")) * 255.0 / (F.col("__hi") - F.col("__lo"))))
+    factor = F.lit(255.0) / (F.col("__hi") - F.col("__lo"))
+    moved = F.col(value).cast("float") * factor.cast("float") + (-F.col("__lo") * factor).cast("float")
+    spread = F.when(F.col("__hi") > F.col("__lo"), F.rint(moved))
     return pixels.join(ends, "image_id").withColumn(value, F.coalesce(spread, F.lit(0)).cast("int")).drop("__lo", "__hi")
 
 
@@ -100,10 +102,10 @@ def set_box(mask_pixels: DataFrame) -> DataFrame:
 def border_zone(mask_pixels: DataFrame, share: float = 0.05) -> DataFrame:
     """Set pixels in the ring along the inside of the mask's box; row y2 and column x2 are outside it.
 
-    The ring is as wide as ``share`` of the shorter side, one pixel at least.
+    The ring is as wide as ``share`` of the shorter side, in whole pixels; a ring of no pixels has none.
     """
     box = set_box(mask_pixels)
-    wide = F.greatest(F.lit(1), (F.least(F.col("y2") - F.col("y1"), F.col("x2") - F.col("x1")) * share).cast("int"))
+    wide = (F.least(F.col("y2") - F.col("y1"), F.col("x2") - F.col("x1")) * share).cast("int")
     rows = mask_pixels.join(box.withColumn("wide", wide), "image_id")
     y, x = F.col("y"), F.col("x")
     inside = (y >= F.col("y1")) & (y < F.col("y2")) & (x >= F.col("x1")) & (x < F.col("x2"))

@@ -27,6 +27,16 @@ def tile_name(stem: Column) -> Column:
     return F.format_string("%s_tile_r%04d_c%04d", stem, F.col("ty"), F.col("tx"))
 
 
+def plan_tile_name(folder: Column) -> Column:
+    """File name of a tile of a plan that is named by its folder."""
+    return F.format_string("cc5k_%s_r%04d_c%04d", F.replace(folder, F.lit("/"), F.lit("_")), F.col("ty"), F.col("tx"))
+
+
+def turned_tile_name(stem: Column, angle: Column) -> Column:
+    """File name of a tile of a turned page."""
+    return F.format_string("%s_rot%d_r%04d_c%04d", stem, angle, F.col("ty"), F.col("tx"))
+
+
 def pad_extent(tiles: DataFrame, tile: int = 512) -> DataFrame:
     """Valid width and height of each tile, and the pixels that are padding."""
     valid = tiles.withColumn("valid_w", F.least(F.lit(tile), F.col("w") - F.col("tx"))).withColumn(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tilewright.functions import geometry as G
 from tilewright.operators import annotations as N
 from tilewright.operators import kernel_udfs as U
-from tilewright.operators import models, numbering, pages, pixels, tiling
+from tilewright.operators import datasets, models, numbering, pages, pixels, tiling
 from tilewright.plans import adapters as D
 from tilewright.plans.adapters import with_inputs
 from tilewright.sources import readers, writers
@@ -163,19 +163,14 @@ def svg_parse_walls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(with_inputs("v u t", """SELECT image_id, ty, tx, count(*) AS n_labels, CAST(sum(cx0 + 3 * cx1 + 5 * cy0 + 7 * cy1) AS BIGINT) AS checksum
-FROM (SELECT t.image_id, ty, tx, greatest(0, least(least(512, w - tx), x0 - tx)) AS cx0, greatest(0, least(least(512, w - tx), x0 + dx - tx)) AS cx1,
-  greatest(0, least(least(512, h - ty), y0 - ty)) AS cy0, greatest(0, least(least(512, h - ty), y0 + dy - ty)) AS cy1
+FROM (SELECT t.image_id, ty, tx, greatest(0, least(512, x0 - tx)) AS cx0, greatest(0, least(512, x0 + dx - tx)) AS cx1,
+  greatest(0, least(512, y0 - ty)) AS cy0, greatest(0, least(512, y0 + dy - ty)) AS cy1
   FROM t JOIN u ON t.image_id = u.image_id AND x0 + dx >= tx AND x0 <= least(tx + 512, w) AND y0 + dy >= ty AND y0 <= least(ty + 512, h))
 WHERE cx1 - cx0 >= 3 AND cy1 - cy0 >= 3 GROUP BY image_id, ty, tx"""))
 def svg_tile_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of tiles that end at the page's edge."""
+    """Labels of tiles that shapes beyond the page's edge don't touch; tiles are padded, so vertices are clamped to their side."""
     rows = D.images(spark, sf_dir).join(D.boxes(D.unique_annotations(spark, sf_dir)), "image_id")
-    tiles = tiling.tiles_by_explode(rows, closed_edge=True)
-    side = F.lit(512)
-    wide, high = F.least(side, F.col("w") - F.col("tx")).cast("double"), F.least(side, F.col("h") - F.col("ty")).cast("double")
-    clips = tiles.withColumn("clip", G.clamped(F.col("polygon"), F.col("tx"), F.col("ty"), wide, high))
-    b = G.bounds(F.col("clip"))
-    return _counted(clips.where((b["max_x"] - b["min_x"] >= 3) & (b["max_y"] - b["min_y"] >= 3)))
+    return _counted(tiling.clipped(tiling.tiles_by_explode(rows, closed_edge=True)))
 
 
 @query(with_inputs("v u", "SELECT u.image_id, ann_id, CASE WHEN w % 2 = 0 THEN x0 * (w * 2 / CAST(w AS DOUBLE)) ELSE CAST(x0 AS DOUBLE) END AS min_x, CASE WHEN w % 2 = 0 THEN (y0 + dy) * (h * 3 / CAST(h AS DOUBLE)) ELSE CAST(y0 + dy AS DOUBLE) END AS max_y FROM u JOIN v ON u.image_id = v.image_id"))
@@ -239,7 +234,7 @@ def yolo_label_parse_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT *, abs((x0 * y0 - (x0 + dx) * y0) + ((x0 + dx) * (y0 + dy + sy) - (x0 + dx + sx) * y0) + ((x0 + dx + sx) * (y0 + dy) - x0 * (y0 + dy + sy)) + (x0 * y0 - x0 * (y0 + dy))) / 2.0::DOUBLE AS area FROM u) WHERE area >= 25"""))
 def polygon_area_perimeter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = N.large_enough(D.skewed(D.unique_annotations(spark, sf_dir)), 25.0)
-    return rows.select("ann_id", G.area(F.col("polygon")).alias("area"), F.round(G.perimeter(F.col("polygon")), 6).alias("perimeter"))
+    return rows.select("ann_id", "area", F.round(G.perimeter(F.col("polygon")), 6).alias("perimeter"))
 
 
 @query(with_inputs("u", "SELECT ann_id, x0 - 1.5::DOUBLE AS xmin, x0 + dx + sx + 1.5::DOUBLE AS xmax, y0 - 1.5::DOUBLE AS ymin, y0 + dy + sy + 1.5::DOUBLE AS ymax FROM u"))
@@ -251,12 +246,12 @@ def object_bbox_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(with_inputs("u", """SELECT ann_id, angle, idx, printf('%s_floor%d_id%d_rot%d_i%04d', kind, image_id, ann_id, angle, idx) AS name
-FROM (SELECT *, CASE WHEN category_id = 1 THEN 'rect' ELSE 'slab' END AS kind, row_number() OVER (PARTITION BY category_id = 1 ORDER BY ann_id, angle) - 1 AS idx FROM u, (VALUES (0), (90)) AS g(angle))"""))
+FROM (SELECT *, CASE WHEN category_id = 1 THEN 'rect' ELSE 'slab' END AS kind, row_number() OVER (PARTITION BY category_id = 1 ORDER BY ann_id, angle) AS idx FROM u, (VALUES (0), (90)) AS g(angle))"""))
 def sample_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names with a running number of each kind."""
+    """Names with a running number of each kind, from 1."""
     rows = N.times_rotations(D.unique_annotations(spark, sf_dir), N.parse_int_list("0, 90,"))
     rows = rows.withColumn("kind", F.when(F.col("category_id") == 1, "rect").otherwise("slab"))
-    rows = numbering.by_id(rows, "ann_id", ["ann_id", "angle"], "idx", of=["kind"])
+    rows = numbering.by_id(rows, "ann_id", ["ann_id", "angle"], "idx", of=["kind"]).withColumn("idx", F.col("idx") + 1)
     name = F.format_string("%s_floor%d_id%d_rot%d_i%04d", "kind", "image_id", "ann_id", "angle", "idx")
     return rows.select("ann_id", "angle", F.col("idx").cast("long"), name.alias("name"))
 
@@ -374,7 +369,7 @@ def split_list_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ANSWER = "CASE p_partkey % 4 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no' WHEN 2 THEN ' YES, it is' ELSE 'maybe' END"
 
 
-@query(f"SELECT p_name || '-' || p_partkey AS file, p_partkey % 4 IN (0, 2) AS kept, CASE WHEN p_partkey % 4 IN (1, 3) THEN 'not kept by the model' END AS reason FROM (SELECT *, {_ANSWER} AS answer FROM part)")
+@query(f"SELECT p_name || '-' || p_partkey AS file, p_partkey % 4 IN (0, 2) AS kept, CASE WHEN p_partkey % 4 IN (1, 3) THEN 'no floor plan' END AS reason, CASE WHEN p_partkey % 4 IN (0, 2) THEN true END AS cropped, CASE WHEN p_partkey % 4 IN (0, 2) THEN './' || p_name || '-' || p_partkey END AS out FROM (SELECT *, {_ANSWER} AS answer FROM part)")
 def vlm_yesno_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.decision_log(D.read(spark, sf_dir, "part").select(F.expr("p_name || '-' || p_partkey").alias("file"), F.expr(_ANSWER).alias("answer")), "file", "answer")
 
@@ -404,7 +399,7 @@ def vlm_resize_scale_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(with_inputs("px", """, g AS (SELECT image_id, y, x, CAST((v * 1868 + (255 - v) * 9617 + (v * 7 % 256) * 4899 + 8192) >> 14 AS INTEGER) AS v FROM px),
-n AS (SELECT image_id, y, x, v AS gray, CAST(CASE WHEN hi > lo THEN floor((v - lo) * 255.0::DOUBLE / (hi - lo)) ELSE 0 END AS INTEGER) AS v FROM (SELECT *, min(v) OVER (PARTITION BY image_id) AS lo, max(v) OVER (PARTITION BY image_id) AS hi FROM g))
+n AS (SELECT image_id, y, x, v AS gray, CAST(CASE WHEN hi > lo THEN round_even(CAST(CAST(v AS FLOAT) * CAST(255.0::DOUBLE / (hi - lo) AS FLOAT) + CAST(-lo * (255.0::DOUBLE / (hi - lo)) AS FLOAT) AS DOUBLE), 0) ELSE 0 END AS INTEGER) AS v FROM (SELECT *, min(v) OVER (PARTITION BY image_id) AS lo, max(v) OVER (PARTITION BY image_id) AS hi FROM g))
 SELECT image_id, y, x, gray, v AS norm, v > 127 AS above FROM n"""))
 def gray_threshold_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("v")
@@ -471,17 +466,30 @@ def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.component_labels(D.gray_images(spark, sf_dir), 150)
 
 
-_RING = """z AS (SELECT image_id, y, x FROM (SELECT m.*, greatest(1, CAST(trunc(least(y2 - y1, x2 - x1) * 0.2::DOUBLE) AS INTEGER)) AS wide FROM
-  (SELECT image_id, y, x, min(y) OVER w AS y1, max(y) OVER w AS y2, min(x) OVER w AS x1, max(x) OVER w AS x2 FROM px WHERE {} WINDOW w AS (PARTITION BY image_id)) m)
+_RING = """z AS (SELECT image_id, y, x FROM (SELECT m.*, CAST(trunc(least(y2 - y1, x2 - x1) * {1}::DOUBLE) AS INTEGER) AS wide FROM
+  (SELECT image_id, y, x, min(y) OVER w AS y1, max(y) OVER w AS y2, min(x) OVER w AS x1, max(x) OVER w AS x2 FROM px WHERE {0} WINDOW w AS (PARTITION BY image_id)) m)
   WHERE y < y2 AND x < x2 AND NOT (y >= y1 + wide AND y < y2 - wide AND x >= x1 + wide AND x < x2 - wide))"""
 
 
-@query(with_inputs("px", ", " + _RING.format("v > 127") + " SELECT * FROM z"))
+@query(with_inputs("px", ", " + _RING.format("v > 127", 0.2) + " SELECT * FROM z"))
 def bbox_border_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels.border_zone(pixels.mask(D.pixels(spark, sf_dir), 127), 0.2)
 
 
-@query(with_inputs("px", ", " + _parts("part", "v > 150") + ", " + _RING.format("v <= 100") + """, big AS (SELECT image_id, root FROM part GROUP BY image_id, root QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY count(*) DESC, root) = 1),
+@query(with_inputs("px", ", " + _RING.format("v > 127", 0.2) + " SELECT * FROM z"))
+def border_ring_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return U.border_rings(D.gray_images(spark, sf_dir), 127, 0.2)
+
+
+@query(with_inputs("px", ", " + _RING.format("v > 127", 0.05) + " SELECT i.image_id, count(z.y) AS n FROM (SELECT DISTINCT image_id FROM px) i LEFT JOIN z USING (image_id) GROUP BY 1"))
+def border_zone_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ring pixels at the default share, where small masks have no ring."""
+    px = D.pixels(spark, sf_dir)
+    zone = pixels.border_zone(pixels.mask(px, 127), 0.05).groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
+    return px.select("image_id").distinct().join(zone, "image_id", "left").fillna(0, ["n"])
+
+
+@query(with_inputs("px", ", " + _parts("part", "v > 150") + ", " + _RING.format("v <= 100", 0.2) + """, big AS (SELECT image_id, root FROM part GROUP BY image_id, root QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY count(*) DESC, root) = 1),
 near AS (SELECT DISTINCT m.image_id, m.y, m.x FROM px m JOIN part p ON m.image_id = p.image_id AND abs(m.y - p.y) <= 1 AND abs(m.x - p.x) <= 1 JOIN big b ON b.image_id = p.image_id AND b.root = p.root WHERE m.v <= 100),
 o AS (SELECT image_id, y, x FROM near UNION SELECT image_id, y, x FROM z)
 SELECT i.image_id, count(o.y) AS outer_pixels, count(m.y) - count(o.y) AS inner_pixels FROM (SELECT DISTINCT image_id FROM px) i LEFT JOIN (SELECT * FROM px WHERE v <= 100) m ON m.image_id = i.image_id LEFT JOIN o ON o.image_id = m.image_id AND o.y = m.y AND o.x = m.x GROUP BY i.image_id"""))
@@ -524,7 +532,19 @@ def gaussian_blur(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.blurred(D.gray_images(spark, sf_dir), 3)
 
 
-@query()
+_NORM = """n AS (SELECT image_id, y, x, CAST(CASE WHEN hi > lo THEN round_even(CAST(CAST(v AS FLOAT) * CAST(255.0::DOUBLE / (hi - lo) AS FLOAT) + CAST(-lo * (255.0::DOUBLE / (hi - lo)) AS FLOAT) AS DOUBLE), 0) ELSE 0 END AS INTEGER) AS v
+  FROM (SELECT *, min(v) OVER (PARTITION BY image_id) AS lo, max(v) OVER (PARTITION BY image_id) AS hi FROM px))"""
+
+
+def _mean(name: str, source: str, size: int, places: tuple[str, str]) -> str:
+    """SQL: ``v`` and the Gaussian mean ``g`` of a window of 3 or 5, in whole numbers."""
+    reach, weights = size // 2, {3: "2 - abs({0})", 5: "CASE abs({0}) WHEN 0 THEN 6 WHEN 1 THEN 4 ELSE 1 END"}[size]
+    steps = ", ".join(f"({d})" for d in range(-reach, reach + 1))
+    return f"""{name} AS (SELECT p.image_id, p.y, p.x, p.v, CAST(floor(sum(q.v * ({weights.format("dy")}) * ({weights.format("dx")})) / {4.0 ** (size - 1)}::DOUBLE + 0.5) AS INTEGER) AS g
+  FROM {source} p, (VALUES {steps}) AS a(dy), (VALUES {steps}) AS b(dx), {source} q WHERE q.image_id = p.image_id AND q.y = {places[0]} AND q.x = {places[1]} GROUP BY ALL)"""
+
+
+@query(with_inputs("px", ", " + _NORM + ", " + _mean("m", "n", 3, _MIRROR) + ", k AS (SELECT image_id, y, x, g AS v FROM m), " + _mean("t", "k", 5, _REPEAT) + " SELECT image_id, y, x, CAST(CASE WHEN v > g - 5 THEN 255 ELSE 0 END AS INTEGER) AS v FROM t"))
 def preprocess_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.preprocessed(D.gray_images(spark, sf_dir), "bin", 3, 5, 5)
 
@@ -534,20 +554,100 @@ def mask_to_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.polygons(D.gray_images(spark, sf_dir), 1.0, 0.002)
 
 
-@query()
+@query(with_inputs("px", ", " + _mean("m", "px", 3, _MIRROR) + ", k AS (SELECT image_id, y, x, g AS v FROM m), " + _mean("t", "k", 3, _REPEAT) + """ SELECT image_id, y, x, CAST(CASE
+  WHEN (y BETWEEN 2 AND 5 AND x IN (1, 6)) OR (x BETWEEN 2 AND 5 AND y IN (1, 6)) THEN 255 WHEN y BETWEEN 3 AND 4 AND x BETWEEN 3 AND 4 THEN 255
+  WHEN y BETWEEN 2 AND 5 AND x BETWEEN 2 AND 5 THEN 0 WHEN v > g - 5 THEN 255 ELSE 0 END AS INTEGER) AS v FROM t"""))
 def label_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = np.array([[2, 2], [5, 2], [5, 5], [2, 5]])
     return U.styled(D.gray_images(spark, sf_dir), lambda a: [box], edge=1, ring=1, block=3, c=5)
 
 
-@query()
+@query(with_inputs("px", ", " + _PX_TILES + " SELECT image_id, y, x, count(*) AS s, count(*) AS n FROM tl WHERE v < 128 GROUP BY ALL"))
 def predict_and_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tiles through the stand-in model, stitched to page masks."""
+    """Tiles through the stand-in model, stitched to the set pixels of pages."""
     sizes = D.image_sizes(spark, sf_dir)
     tiles = U.tiles(D.gray_images(spark, sf_dir), TILE, STRIDE)
-    masks = models.tile_masks(tiles, lambda: models.dark_parts)
+    masks = models.tile_masks(tiles, models.stand_in)
     hits = masks.select("image_id", "ty", "tx", F.posexplode(F.split(F.rtrim(F.regexp_replace(F.hex("hits"), "(..)", "$1 ")), " ")).alias("p", "b"))
     rows = hits.select(
         "image_id", "ty", "tx", F.floor(F.col("p") / TILE).cast("int").alias("py"), (F.col("p") % TILE).alias("px"), (F.col("b") == "01").cast("int").alias("hit")
     )
     return pixels.stitched(rows, sizes)
+
+
+@query(with_inputs("px", "SELECT image_id, count(*) FILTER (v < 128) AS n_set, 8 AS h, 8 AS w FROM px GROUP BY image_id"))
+def page_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, a page's mask as one row of bytes."""
+    tiles = U.tiles(D.gray_images(spark, sf_dir), TILE, STRIDE)
+    pages_ = models.page_masks(models.tile_masks(tiles, models.stand_in), D.image_sizes(spark, sf_dir))
+    ones = F.length(F.regexp_replace(F.hex("mask"), "00", "")) / 2
+    return pages_.select("image_id", ones.cast("long").alias("n_set"), "h", "w")
+
+
+@query(with_inputs("u", """, s AS (SELECT CASE WHEN category_id = 1 THEN 'rect' ELSE 'slab' END AS kind, image_id, ann_id, angle FROM u, (VALUES (0), (90)) AS g(angle)),
+n AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY image_id, angle, ann_id) AS idx FROM s)
+SELECT printf('%s_floor%d_id%d_rot%d_i%04d', kind, image_id, ann_id, angle, idx) AS name, kind, CAST(idx AS BIGINT) AS idx FROM n WHERE kind = 'rect' OR idx <= 300"""))
+def dataset_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of a dataset's samples, of which one kind is capped."""
+    return datasets.numbered_samples(_objects(spark, sf_dir), [0, 90], max_slabs=300).select("name", "kind", "idx")
+
+
+def _objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = D.skewed(D.unique_annotations(spark, sf_dir))
+    named = rows.select(F.col("image_id").alias("floor_id"), F.col("ann_id").alias("object_id"), "polygon", "category_id")
+    return datasets.objects(named.where("category_id = 1").drop("category_id"), named.where("category_id <> 1").drop("category_id"))
+
+
+@query(with_inputs("u", "SELECT count(*) FILTER (category_id = 1) AS rects, count(*) FILTER (category_id <> 1) AS slabs FROM u"))
+def object_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.object_totals(N.included(_objects(spark, sf_dir)))
+
+
+@query(with_inputs("u", "SELECT count(*) FILTER (category_id = 1) AS rects, 0::BIGINT AS slabs, count(*) FILTER (category_id = 1 AND ann_id % 5 <> 0) AS saved, count(*) FILTER (category_id = 1 AND ann_id % 5 = 0) AS skipped FROM u WHERE image_id <= 200"))
+def dataset_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of some floors (a parameter of the build), of which those without a polygon are skipped with an error."""
+    some = N.included(_objects(spark, sf_dir), slabs=False).where("floor_id <= 200")
+    broken = some.withColumn("polygon", F.when(F.col("object_id") % 5 != 0, F.col("polygon")))
+    return datasets.sample_counts(datasets.samples(datasets.numbered_samples(broken, [0]), size=64))
+
+
+@query("SELECT 'cc5k_a_' || p_partkey || printf('_r%04d_c%04d', p_size, p_size * 2) AS plan, 'p' || p_partkey || printf('_rot%d_r%04d_c%04d', 90, p_size, p_size * 2) AS turned FROM part")
+def tile_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names of tiles of plans and of turned pages."""
+    k = F.col("p_partkey").cast("string")
+    rows = D.read(spark, sf_dir, "part").withColumn("ty", F.col("p_size")).withColumn("tx", F.col("p_size") * 2)
+    return rows.select(
+        tiling.plan_tile_name(F.concat(F.lit("a/"), k)).alias("plan"), tiling.turned_tile_name(F.concat(F.lit("p"), k), F.lit(90)).alias("turned")
+    )
+
+
+@query(f"SELECT count(*) FILTER (p_partkey % 4 IN (0, 2)) AS kept, count(*) FILTER (p_partkey % 4 IN (1, 3)) AS skipped FROM part")
+def decision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.decision_counts(vlm_yesno_filter(spark, sf_dir))
+
+
+@query(with_inputs("px", """SELECT count(DISTINCT image_id) FILTER (image_id % 3 = 0) AS processed, count(DISTINCT image_id) FILTER (image_id % 3 = 1) AS skipped, count(DISTINCT image_id) FILTER (image_id % 3 = 2) AS failed FROM px"""))
+def style_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of styling images by label lines: a box, none, or a line that is too short."""
+    images = D.gray_images(spark, sf_dir)
+    line = F.when(F.col("image_id") % 3 == 0, "0 .25 .25 .75 .25 .75 .75 .25 .75").when(F.col("image_id") % 3 == 2, "0 1 2")
+    lines = images.select("image_id", F.coalesce(line, F.lit(" ")).alias("line"))
+    return U.outcome_counts(U.styled_by_labels(images, lines, ring=1, block=3))
+
+
+@query(with_inputs("v", "SELECT count(*) FILTER (image_id % 4 = 1) AS no_xml, count(*) FILTER (image_id % 4 = 2) AS bad_point, count(*) FILTER (image_id % 4 = 3) AS missing FROM v"))
+def svg_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drawings that have no walls for a fault."""
+    text = F.element_at(F.array(F.lit('<svg><g id="Wall"><polygon points="0,0 9,0 9,9"/></g></svg>'), F.lit("<svg><g>"),
+                                F.lit('<svg><g id="Wall"><polygon points="0,0 a,0 9,9"/></g></svg>'), F.lit(None)), (F.col("image_id") % 4 + 1).cast("int"))
+    errors = readers.svg_errors(D.images(spark, sf_dir).select("image_id", text.alias("svg")))
+    return errors.agg(
+        F.count_if(F.startswith("error", F.lit("no XML"))).alias("no_xml"),
+        F.count_if(F.startswith("error", F.lit("a point"))).alias("bad_point"),
+        F.count_if(F.startswith("error", F.lit("no drawing"))).alias("missing"),
+    )
+
+
+@query("SELECT count(*) AS n FROM part WHERE CAST(('0x' || substr(md5('13:' || p_partkey), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE < 0.25")
+def training_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbering.fraction(D.read(spark, sf_dir, "part"), "p_partkey", 0.25).agg(F.count(F.lit(1)).alias("n"))

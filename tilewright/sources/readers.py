@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+from xml.parsers import expat
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilewright.functions.geometry import point
 
@@ -53,18 +56,59 @@ def read_floors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return of("rects"), of("slabs")
 
 
+@F.pandas_udf(T.StringType())
+def _xml_error(texts: pd.Series) -> pd.Series:
+    """Why a text is no XML; null if it is."""
+
+    def why(text: str | None) -> str | None:
+        if text is None:
+            return "no drawing"
+        try:
+            expat.ParserCreate().Parse(text, True)
+        except (expat.ExpatError, ValueError) as error:
+            return f"no XML: {error}"
+        return None
+
+    return pd.Series([why(t) for t in texts], dtype=object)
+
+
+def _wall_points(drawings: DataFrame, svg: str) -> DataFrame:
+    """``error`` (why the drawing is no XML) and ``points`` (the wall polygons' texts, null then)."""
+    named = " or ".join(f'@id="{g}"' for g in WALL_GROUPS)
+    checked = drawings.withColumn("error", _xml_error(svg))
+    paths = F.expr(f"xpath({svg}, '//g[{named}]/polygon[1]/@points')")
+    return checked.withColumn("points", F.when(F.col("error").isNull(), paths))
+
+
+def _bad_point() -> Column:
+    """Whether a pair among ``points`` is not two numbers."""
+
+    def bad(text: Column) -> Column:
+        pairs = F.filter(F.transform(F.split(F.trim(text), r"\s+"), lambda t: F.split(t, ",")), lambda p: F.size(p) == 2)
+        return F.exists(pairs, lambda p: p[0].try_cast("double").isNull() | p[1].try_cast("double").isNull())
+
+    return F.coalesce(F.exists("points", bad), F.lit(False))
+
+
+def svg_errors(drawings: DataFrame, svg: str = "svg") -> DataFrame:
+    """The drawings that have no walls for a fault, without their text, and ``error``."""
+    rows = _wall_points(drawings, svg)
+    error = F.coalesce(F.col("error"), F.when(_bad_point(), F.lit("a point is not two numbers")))
+    return rows.withColumn("error", error).where("error is not null").drop("points", svg)
+
+
 def svg_walls(drawings: DataFrame, svg: str = "svg", least: float = 4.0) -> DataFrame:
     """``wall`` (number) and ``polygon`` of the wall polygons of drawings.
 
-    The first polygon of each wall group; points that are not two numbers are
-    skipped; walls of less than three points or ``least`` pixels either way go.
+    The first polygon of each wall group; points that are not pairs are skipped; walls
+    of less than three points or ``least`` pixels either way go. A drawing that is null, no
+    XML, or has a pair that is not two numbers has no walls; ``svg_errors`` says why.
     """
-    named = " or ".join(f'@id="{g}"' for g in WALL_GROUPS)
-    paths = drawings.withColumn("points", F.expr(f"xpath({svg}, '//g[{named}]/polygon[1]/@points')"))
+    paths = _wall_points(drawings, svg).where(F.col("points").isNotNull() & ~_bad_point()).drop("error")
     # Outer, as filters that Spark infers from a plain posexplode would parse each drawing again.
     rows = paths.select("*", F.posexplode_outer("points").alias("wall", "text")).drop("points", svg).where("text is not null")
     pairs = F.filter(F.transform(F.split(F.trim("text"), r"\s+"), lambda t: F.split(t, ",")), lambda p: F.size(p) == 2)
-    polygon = F.transform(pairs, lambda p: point(p[0].cast("double"), p[1].cast("double")))
+    polygon = F.transform(pairs, lambda p: point(p[0].try_cast("double"), p[1].try_cast("double")))
     rows = rows.withColumn("polygon", polygon).drop("text").where(F.size("polygon") >= 3)
     wide = F.array_max(F.transform("polygon", lambda p: p["x"])) - F.array_min(F.transform("polygon", lambda p: p["x"]))
     high = F.array_max(F.transform("polygon", lambda p: p["y"])) - F.array_min(F.transform("polygon", lambda p: p["y"]))
@@ -88,11 +132,14 @@ def label_polygons(lines: DataFrame, line: str = "line", strict: bool = True) ->
 
     Strict: an odd number of coordinates drops the line; pixels are rounded half to
     even and clamped to the image. Lenient: a lone last number is ignored; pixels are
-    truncated and not clamped. Lines of less than seven tokens go in either form.
+    truncated and not clamped. Lines of less than seven tokens go in either form, and so
+    do lines with a token that is no number (or, for the class, no 32-bit one).
     """
     rows = _label_tokens(lines, line)
-    coords = F.transform(F.slice("__t", 2, F.size("__t") - 1), lambda t: t.cast("double"))
-    rows = rows.withColumn("class_id", F.get("__t", F.lit(0)).cast("double").cast("int")).withColumn("__c", coords)
+    coords = F.transform(F.slice("__t", 2, F.size("__t") - 1), lambda t: t.try_cast("double"))
+    number = F.get("__t", F.lit(0)).try_cast("double").try_cast("int")
+    rows = rows.withColumn("class_id", number).withColumn("__c", coords)
+    rows = rows.where(F.col("class_id").isNotNull() & F.forall("__c", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e6)))
     if strict:
         rows = rows.where(F.size("__t") % 2 == 1)
 
@@ -131,13 +178,38 @@ def read_images(spark: SparkSession, path: str, extensions: tuple[str, ...] = ("
 
 
 def tile_places(paths: DataFrame, path: str = "path", stem: str | None = None) -> DataFrame:
-    """``stem``, ``ty`` and ``tx`` of tile file names; other names go. Text after the extension is accepted."""
+    """``stem``, ``ty`` and ``tx`` of tile file names; other names go, and places beyond 32 bits. Text after the extension is accepted."""
     name = F.substring_index(path, "/", -1)
     pattern = rf"^({re.escape(stem) if stem else '.+'})_tile_r(\d+)_c(\d+)\.(?:png|jpg)"
     rows = paths.withColumn("stem", F.regexp_extract(name, pattern, 1)).where("stem <> ''")
-    return rows.withColumn("ty", F.regexp_extract(name, pattern, 2).cast("int")).withColumn(
-        "tx", F.regexp_extract(name, pattern, 3).cast("int")
+    rows = rows.withColumn("ty", F.regexp_extract(name, pattern, 2).try_cast("int")).withColumn(
+        "tx", F.regexp_extract(name, pattern, 3).try_cast("int")
     )
+    return rows.where("ty is not null and tx is not null")
+
+
+def list_files(spark: SparkSession, path: str, extensions: tuple[str, ...] = ("png", "jpg", "jpeg")) -> DataFrame:
+    """Paths and sizes of the files below a folder whose extension, in any case, is listed; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    return files.where(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*[e.lstrip(".").lower() for e in extensions]))
+
+
+def drawing_folders(spark: SparkSession, path: str, lists: DataFrame | None = None) -> DataFrame:
+    """``folder`` of each drawing: those of the list files, or, if they name none, all below ``path`` that hold a model.svg."""
+    if lists is not None:
+        named = split_list(lists)
+        if not named.isEmpty():
+            return named
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "model.svg").load(path)
+    root = re.escape(path.rstrip("/").rsplit("/", 1)[-1])
+    return files.select(F.regexp_extract("path", rf"/{root}/(.*)/model\.svg$", 1).alias("folder")).where("folder <> ''").orderBy("folder")
+
+
+def read_gray(spark: SparkSession, path: str, extensions: tuple[str, ...] = ("png", "jpg", "jpeg")) -> DataFrame:
+    """Images as gray rows (path, h, w, data)."""
+    from tilewright.operators import kernel_udfs
+
+    return kernel_udfs.gray_of(read_images(spark, path, extensions))
 
 
 def base_page(paths: DataFrame, path: str = "path", suffix: str = "_cropped.png") -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -67,6 +68,22 @@ def manifest(samples: DataFrame, **config: object) -> DataFrame:
     return count.select("*", F.to_json(F.struct("*")).alias("manifest"))
 
 
+def preprocess_meta(source: str, mode: str, blur: int, block_size: int, c: int) -> str:
+    """How a dataset was preprocessed, as JSON."""
+    return json.dumps({"source_dataset": source, "mode": mode, "blur": blur, "block_size": block_size, "c": c}, indent=2)
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text as one file, wherever Spark's file systems reach."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def summary(samples: DataFrame, *columns: str) -> DataFrame:
     """Counts of rows by some columns."""
     return samples.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
