@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -17,7 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that one Arrow batch may hold. Texts may be long, so batches are short.
-ARROW_ROWS = 512
+ARROW_ROWS = 256
+
+#: Up to so many keys of documents (some 60 bytes each in a task's table) are broadcast.
+BROADCAST_KEYS = 500_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -56,6 +61,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release() -> None:
+    """Give memory that a worker no longer needs back to the system: workers are used again by other stages."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):
         jvm = spark.sparkContext._jvm
@@ -76,6 +88,17 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def semi_join(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``docs`` whose id and text (as XXH64, a null one is empty) are in the written table ``keys`` (__id, __th), or are not.
+
+    Up to BROADCAST_KEYS keys are broadcast, so that texts stay where they are; beyond that the join shuffles them.
+    """
+    some = keys.select("__id", "__th")
+    few = some.count() <= BROADCAST_KEYS
+    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return docs.join(F.broadcast(some) if few else some, docs[id_col].eqNullSafe(F.col("__id")) & (th == F.col("__th")), how)
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(column, _UPPER, _UPPER.lower())

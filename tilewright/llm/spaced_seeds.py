@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import configure, table
+from tilewright.llm.common import configure, release, table
 
 #: Masks over consecutive tokens: # counts, - is ignored (fixed values). Together they hit every
 #: overlap of 13 to 25 tokens and every whole item of 8 to 12 of which a fifth, rounded down, is
@@ -41,7 +41,7 @@ BITMAP_BITS = 24
 #: First bits of a hash's places in the bitmap.
 PROBES = (40, 20, 0)
 #: Words whose hashes a worker remembers.
-MEMORY = 150_000
+MEMORY = 60_000
 #: Up to so many texts (8 bytes each) with an overlap are broadcast; more are joined by a shuffle.
 BROADCAST_TEXTS = 500_000
 _FACTOR = 0x9E3779B97F4A7C15
@@ -198,7 +198,8 @@ def _seed_rows(rows: DataFrame, id_col: str, text_col: str, masks: Sequence[str]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(of), b.column(1).take(of), *columns], names=["id", "th", "tokens", "hashes"]
             )
-        _known.clear()  # workers are used again by other stages
+        _known.clear()
+        release()
 
     slim = rows.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("th"), F.col(text_col).alias("text"))
     return slim.mapInArrow(run, f"id {kind}, th long, tokens array<long>, hashes array<long>")
