@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.llm.common import configure, cut, table
+from tilewright.llm.common import configure, cut, semi_join, table
 
 #: End of a sentence: marks followed by white space, or line ends.
 _END = re.compile(r"(?:[.!?。！？]+[\"')\]]*\s+|[。！？]+|\n+)\s*")
@@ -33,8 +33,8 @@ MIN_SENTENCES, MIN_WORDS, LONG_WORDS = 2, 15, 25
 #: Characters that are words alone (fixed ranges of Unicode: South-East Asian, Kana, Han).
 ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _ALONE = re.compile(f"[{ALONE}]")
-#: Up to so many repeated hashes are broadcast (some 40 bytes each in a task's table); more are joined by a shuffle.
-BROADCAST_HASHES = 1_000_000
+#: Bits of the index of the bitmap of repeated hashes, which has 16 MB, and of a part of it; first bits of a hash's places in it.
+BITMAP_BITS, PART_BITS, PROBES = 27, 19, (0, 32)
 _SEED, _BASE = 9, 0x9E3779B97F4A7C15
 
 
@@ -155,6 +155,46 @@ def run_table(
     return slim.mapInArrow(run, f"id {kind}, th long, first int, last int, h long, more int")
 
 
+def _place(h: np.ndarray, shift: int) -> np.ndarray:
+    return (h.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & ((1 << BITMAP_BITS) - 1)
+
+
+def _bitmap(hashes: DataFrame) -> bytes:
+    """The bitmap of the places of all hashes; tasks make parts of it, which reach the driver as bytes."""
+    mask = F.lit((1 << BITMAP_BITS) - 1)
+    places = F.explode(F.array(*[F.shiftrightunsigned("h", s).bitwiseAND(mask).cast("int") for s in PROBES]))
+
+    def part(rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << PART_BITS, dtype=np.uint8)
+        bits[rows["place"].to_numpy() & ((1 << PART_BITS) - 1)] = 1
+        return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    # Places are made distinct first, so a part has as many rows as bits at most.
+    placed = hashes.select(places.alias("place")).distinct().withColumn("part", F.shiftright("place", PART_BITS))
+    out = np.zeros((1 << (BITMAP_BITS - PART_BITS), 1 << (PART_BITS - 3)), dtype=np.uint8)
+    for r in placed.groupBy("part").applyInPandas(part, "part int, bits binary").toLocalIterator():
+        out[r["part"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out.tobytes()
+
+
+def _passed(every: DataFrame, bitmap: bytes) -> DataFrame:
+    """The runs whose hash is in the bitmap."""
+    shared = every.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, dtype=np.uint8)
+        for b in batches:
+            h = b.column(b.schema.get_field_index("h")).to_numpy(zero_copy_only=False)
+            able = np.ones(len(h), dtype=bool)
+            for shift in PROBES:
+                place = _place(h, shift)
+                able &= bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
+            if able.any():
+                yield b.filter(pa.array(able))
+
+    return every.mapInArrow(run, every.schema)
+
+
 def removals(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -167,9 +207,9 @@ def removals(
     """``id``, ``th`` and ``spans`` (array of first and last sentence) of the texts that lose sentences."""
     configure(docs.sparkSession)
     every = table(run_table(docs, id_col, text_col, min_words, long_words, both_ends, fine), "runs")
-    repeated = cut(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
-    few = repeated.count() <= BROADCAST_HASHES
-    again = table(every.join(F.broadcast(repeated) if few else repeated, "h", "left_semi"), "runs-repeated")
+    repeated = table(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "runs-hashes")
+    # The bitmap passes all repeated runs and few others, so the exact join shuffles few runs.
+    again = table(_passed(every, _bitmap(repeated)).join(repeated, "h", "left_semi"), "runs-repeated")
     where = F.struct("id", "th", "first")
     firsts = cut(again.groupBy("h", "more").agg(F.min(where).alias("origin")))
     later = again.join(firsts, ["h", "more"]).where(
@@ -198,15 +238,16 @@ def substring_dedup(
     """
     gone = removals(docs, id_col, text_col, min_words, long_words, both_ends, fine)
 
-    keyed = docs.withColumn("__th", _text_hash(text_col))
-    marks = gone.select(F.col("id").alias("__id"), F.col("th").alias("__gone"), F.col("spans").alias("__spans"))
-    joined = keyed.join(marks, keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__th") == F.col("__gone")), "left")
+    marks = table(gone.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("spans").alias("__spans")), "spans")
+    # Only texts that lose sentences are joined with their spans and go through Python; the others stay where they are.
+    whole = semi_join(docs, marks, id_col, text_col, "left_anti").withColumn("n_removed", F.lit(0).cast("long"))
+    some = semi_join(docs, marks, id_col, text_col).withColumn("__text", _text_hash(text_col))
+    joined = some.join(marks, some[id_col].eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__th")))
     counted = F.size(F.array_distinct(F.flatten(F.transform("__spans", lambda x: F.sequence(x["first"], x["last"] - 1)))))
-    out = joined.withColumn("n_removed", F.coalesce(counted, F.lit(0)).cast("long"))
-    # Only texts that lose sentences go through Python.
-    marked = F.when(F.col("__spans").isNotNull(), F.col(text_col))
-    out = out.withColumn(text_col, F.coalesce(_remove_all(marked, F.col("__spans"), F.lit(fine)), F.col(text_col)))
-    return out.drop("__th", "__id", "__gone", "__spans")
+    cut_down = joined.withColumn("n_removed", counted.cast("long")).withColumn(
+        text_col, _remove_all(F.col(text_col), F.col("__spans"), F.lit(fine))
+    )
+    return whole.unionByName(cut_down.select(*whole.columns))
 
 
 def remove(text: str, spans: list, fine: bool = False) -> str:
