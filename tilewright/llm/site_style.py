@@ -34,6 +34,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -92,10 +93,14 @@ class Node:
     parent: "Node | None" = None
     items: list = field(default_factory=list)  # nodes, and texts as str
     links: list = field(default_factory=list)
+    own: int = 0  # characters of its texts, without white space
+    order: list = field(default_factory=list)  # of a root: all nodes, parents first
 
 
+@lru_cache(maxsize=100_000)
 def _path(parent: int, label: str) -> int:
-    return int(np.uint64(xxhash.xxh64_intdigest(f"{parent}/{label}")).astype(np.int64))
+    h = xxhash.xxh64_intdigest(f"{parent}/{label}")
+    return h - (1 << 64) if h >> 63 else h
 
 
 def parse(page: str | None) -> Node:
@@ -148,14 +153,14 @@ def parse(page: str | None) -> Node:
                 up = up.parent
             if last is not None:
                 here = close(last)
-        given = {}
+        given, says, style = {}, "", ""
         if rest and rest != "/":
             for a in _ATTRIBUTE.finditer(rest):
                 given.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
-        says = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".lower()
-        style = _DIGITS.sub("0", " ".join(sorted(says.split())))  # numbers in names count rows, not styles
+            says = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".lower()
+            style = _DIGITS.sub("0", " ".join(sorted(says.split())))  # numbers in names count rows, not styles
         surely = tag in FURNITURE and tag != "form" and not (tag == "header" and (opened.get("article") or opened.get("main")))
-        named = tag == "form" or not FURNITURE_WORDS.isdisjoint(says.split())
+        named = tag == "form" or says != "" and not FURNITURE_WORDS.isdisjoint(says.split())
         node = Node(_path(here.path, f"{tag}.{style}"), tag, surely or named and tag not in ("html", "body"), surely, here)
         here.items.append(node)
         if link := given.get("href") or given.get("src"):
@@ -169,7 +174,10 @@ def parse(page: str | None) -> Node:
         if not rest.endswith("/") or tag in BLOCKS:
             here = node
             opened[tag] = opened.get(tag, 0) + 1
-    if any(n.furniture for n in _walk(root)):
+    root.order = list(_walk(root))
+    for n in root.order:
+        n.own = sum([len("".join(i.split())) for i in n.items if isinstance(i, str)])
+    if any([n.furniture for n in root.order]):
         _spare(root)
     return root
 
@@ -177,13 +185,15 @@ def parse(page: str | None) -> Node:
 def _spare(root: Node) -> None:
     """Names say nothing of what holds most of the page's text, elements nothing of what holds an article that does."""
     plain = _amounts(root, bare=True)
-    for n in _walk(root):
+    for n in root.order:
         if n.tag in ("article", "main") and 2 * plain[id(n)] >= plain[id(root)] > 0:
             for up in _above(n):
                 up.furniture = up.surely = False
             n.furniture = False
+    if not any([n.furniture and not n.surely for n in root.order]):
+        return
     amount = _amounts(root)
-    for n in _walk(root):
+    for n in root.order:
         if n.furniture and not n.surely:
             n.furniture = 2 * sum(amount[id(i)] for i in n.items if isinstance(i, Node)) <= amount[id(root)]
 
@@ -194,11 +204,11 @@ def _amounts(root: Node, removed: set[int] | None = None, bare: bool = False) ->
     Without ``removed``, furniture by name counts, too; with ``bare`` all of it does.
     """
     amount: dict[int, int] = {}
-    for n in reversed(list(_walk(root))):
+    for n in reversed(root.order):
         if not bare and (n.surely or removed is not None and (n.furniture or n.path in removed)):
             amount[id(n)] = 0
         else:
-            amount[id(n)] = sum(len("".join(i.split())) if isinstance(i, str) else amount[id(i)] for i in n.items)
+            amount[id(n)] = n.own + sum([amount[id(i)] for i in n.items if isinstance(i, Node)])
     return amount
 
 
@@ -220,7 +230,7 @@ def node_features(page: str | None) -> dict[tuple[int, int, int, int], tuple[int
     amount = _amounts(root, bare=True)
     shown: dict[tuple[int, int], list] = {}  # by path: presentations, characters below and in the nodes
     out: dict[tuple[int, int, int, int], tuple[int, int]] = {}
-    for node in _walk(root):
+    for node in root.order:
         tags: list[str] = []
         for c in node.items:
             if isinstance(c, Node) and (not tags or tags[-1] != c.tag):
@@ -230,7 +240,7 @@ def node_features(page: str | None) -> dict[tuple[int, int, int, int], tuple[int
         texts = [i for i in node.items if isinstance(i, str)]
         of[0].append(" ".join(tags))
         of[1] += amount[id(node)]
-        of[2] += sum(len("".join(t.split())) for t in texts)
+        of[2] += node.own
         own = " ".join(" ".join(texts).split())
         for content in [own, *node.links] if own else node.links:
             out[node.path, above, 1, h(content.encode("utf-8", "surrogatepass")) >> 1] = (0, 0)
@@ -246,9 +256,9 @@ def main_text(page: str | None, removed: set[int], names: bool = True) -> str:
     """
     root = parse(page)
     if not names:
-        for n in _walk(root):
+        for n in root.order:
             n.furniture = n.surely = False
-    articles = [] if not names else [n for n in _walk(root) if n.tag in ("article", "main") and not n.furniture]
+    articles = [] if not names else [n for n in root.order if n.tag in ("article", "main") and not n.furniture]
     blocks: list[str] = []
     line: list[str] = []
 
