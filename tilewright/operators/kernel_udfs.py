@@ -1,12 +1,13 @@
 """Kernels on whole images: one row is one image (image_id, h, w, data), in Arrow batches.
 
 Pages are independent, so no kernel shuffles. A kernel's rows leave as columns of numpy
-arrays, one image at a time; ``large`` bounds the images that a batch holds.
+arrays, those of small images together; ``large`` bounds the images that a batch holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from tilewright.operators import kernels as K
 
-#: Images in a batch for pages of full size.
-BATCH = 64
+#: Images in a batch for pages of full size, and rows or pixels of small images that leave together.
+BATCH, ROWS = 64, 262_144
 IMAGE = "image_id long, h int, w int, data binary"
 
 
@@ -44,14 +45,28 @@ def per_image(images: DataFrame, kernel: Callable[[np.ndarray], tuple], schema:
     """
     names = [c.split()[0] for c in schema.split(", ")]
 
+    def pack(held: list[tuple]) -> pd.DataFrame:
+        ids, columns = zip(*held)
+        out = {"image_id": np.repeat(np.array(ids, dtype=np.int64), [len(c[0]) for c in columns])}
+        for name, parts in zip(names, zip(*columns)):
+            out[name] = np.concatenate(parts) if isinstance(parts[0], np.ndarray) else list(chain.from_iterable(parts))
+        return pd.DataFrame(out)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
         for b in batches:
             for r in b.itertuples():
                 if r.data is None or not r.h > 0 or not r.w > 0 or not r.data or len(r.data) % (int(r.h) * int(r.w)):
                     continue
                 columns = kernel(array_of(r.data, int(r.h), int(r.w)))
                 if len(columns[0]):
-                    yield pd.DataFrame({"image_id": r.image_id, **dict(zip(names, columns))})
+                    held.append((r.image_id, columns))
+                    rows += max(len(columns[0]), len(r.data))
+                if rows >= ROWS:
+                    yield pack(held)
+                    held, rows = [], 0
+        if held:
+            yield pack(held)
 
     return images.select("image_id", "h", "w", "data").mapInPandas(run, f"image_id long, {schema}")
 

@@ -72,29 +72,32 @@ def _xml_error(texts: pd.Series) -> pd.Series:
     return pd.Series([why(t) for t in texts], dtype=object)
 
 
-def _wall_points(drawings: DataFrame, svg: str) -> DataFrame:
-    """``error`` (why the drawing is no XML) and ``points`` (the wall polygons' texts, null then)."""
+def _once(value: Column, then) -> Column:
+    """``then`` of a value that is computed once however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _wall_points(svg: str) -> Column:
+    """The wall polygons' texts of a drawing; null if it has an ``error``."""
     named = " or ".join(f'@id="{g}"' for g in WALL_GROUPS)
-    checked = drawings.withColumn("error", _xml_error(svg))
-    paths = F.expr(f"xpath({svg}, '//g[{named}]/polygon[1]/@points')")
-    return checked.withColumn("points", F.when(F.col("error").isNull(), paths))
+    return F.when(F.col("error").isNull(), F.expr(f"xpath({svg}, '//g[{named}]/polygon[1]/@points')"))
 
 
-def _bad_point() -> Column:
-    """Whether a pair among ``points`` is not two numbers."""
+def _bad_point(points: Column) -> Column:
+    """Whether a pair among the texts is not two numbers."""
 
     def bad(text: Column) -> Column:
         pairs = F.filter(F.transform(F.split(F.trim(text), r"\s+"), lambda t: F.split(t, ",")), lambda p: F.size(p) == 2)
         return F.exists(pairs, lambda p: p[0].try_cast("double").isNull() | p[1].try_cast("double").isNull())
 
-    return F.coalesce(F.exists("points", bad), F.lit(False))
+    return F.coalesce(F.exists(points, bad), F.lit(False))
 
 
 def svg_errors(drawings: DataFrame, svg: str = "svg") -> DataFrame:
     """The drawings that have no walls for a fault, without their text, and ``error``."""
-    rows = _wall_points(drawings, svg)
-    error = F.coalesce(F.col("error"), F.when(_bad_point(), F.lit("a point is not two numbers")))
-    return rows.withColumn("error", error).where("error is not null").drop("points", svg)
+    rows = drawings.withColumn("error", _xml_error(svg))
+    wrong = _once(_wall_points(svg), lambda p: F.when(_bad_point(p), F.lit("a point is not two numbers")))
+    return rows.withColumn("error", F.coalesce(F.col("error"), wrong)).where("error is not null").drop(svg)
 
 
 def svg_walls(drawings: DataFrame, svg: str = "svg", least: float = 4.0) -> DataFrame:
@@ -104,9 +107,10 @@ def svg_walls(drawings: DataFrame, svg: str = "svg", least: float = 4.0) -> Data
     of less than three points or ``least`` pixels either way go. A drawing that is null, no
     XML, or has a pair that is not two numbers has no walls; ``svg_errors`` says why.
     """
-    paths = _wall_points(drawings, svg).where(F.col("points").isNotNull() & ~_bad_point()).drop("error")
+    checked = drawings.withColumn("error", _xml_error(svg))
+    points = _once(_wall_points(svg), lambda p: F.when(~_bad_point(p), p))
     # Outer, as filters that Spark infers from a plain posexplode would parse each drawing again.
-    rows = paths.select("*", F.posexplode_outer("points").alias("wall", "text")).drop("points", svg).where("text is not null")
+    rows = checked.select("*", F.posexplode_outer(points).alias("wall", "text")).drop("error", svg).where("text is not null")
     pairs = F.filter(F.transform(F.split(F.trim("text"), r"\s+"), lambda t: F.split(t, ",")), lambda p: F.size(p) == 2)
     polygon = F.transform(pairs, lambda p: point(p[0].try_cast("double"), p[1].try_cast("double")))
     rows = rows.withColumn("polygon", polygon).drop("text").where(F.size("polygon") >= 3)
@@ -138,8 +142,10 @@ def label_polygons(lines: DataFrame, line: str = "line", strict: bool = True) ->
     rows = _label_tokens(lines, line)
     coords = F.transform(F.slice("__t", 2, F.size("__t") - 1), lambda t: t.try_cast("double"))
     number = F.get("__t", F.lit(0)).try_cast("double").try_cast("int")
-    rows = rows.withColumn("class_id", number).withColumn("__c", coords)
-    rows = rows.where(F.col("class_id").isNotNull() & F.forall("__c", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e6)))
+    whole = _once(coords, lambda v: F.when(F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e6)), v))
+    # Exploded, as a filter on a plain column would be pushed down and compute the numbers twice.
+    rows = rows.withColumn("class_id", number).select("*", F.explode_outer(F.array(whole)).alias("__c"))
+    rows = rows.where("class_id is not null and __c is not null")
     if strict:
         rows = rows.where(F.size("__t") % 2 == 1)
 
