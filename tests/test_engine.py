@@ -96,6 +96,17 @@ def test_parameters_are_checked(spark):
     assert tiling.tile_grid(spark.createDataFrame([(1, 0, 5)], "image_id long, w int, h int")).count() == 0
 
 
+def test_grid_of_tiles_is_not_broadcast(spark):
+    pages, shapes = adapters.images(spark, SF), adapters.boxes(adapters.annotations(spark, SF))
+    joined = tiling.tiles_by_join(pages, shapes)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    columns = ["image_id", "ann_id", "ty", "tx"]
+    want = tiling.tiles_by_explode(pages.join(shapes, "image_id")).select(*columns)
+    assert sorted(joined.select(*columns).collect()) == sorted(want.collect())
+    assert joined.columns == [*tiling.tile_grid(pages).columns, *[c for c in shapes.columns if c != "image_id"]]
+
+
 def test_polygons_agree_with_their_mask(spark):
     for r in kernel_udfs.polygons(adapters.gray_images(spark, SF), 1.0, 0.0).take(50):
         p = np.array(r["coords"]).reshape(-1, 2).astype(int)

@@ -45,17 +45,22 @@ def pad_extent(tiles: DataFrame, tile: int = 512) -> DataFrame:
     return valid.withColumn("padded", F.lit(tile * tile) - F.col("valid_w") * F.col("valid_h"))
 
 
-def overlaps(polygon: Column, tx: Column, ty: Column, width: Column, height: Column) -> Column:
-    """Whether a polygon's box and a tile's box meet; touching counts."""
-    b = G.bounds(polygon)
-    return (b["max_x"] >= tx) & (b["min_x"] <= tx + width) & (b["max_y"] >= ty) & (b["min_y"] <= ty + height)
+def overlaps(box: Column, tx: Column, ty: Column, width: Column, height: Column) -> Column:
+    """Whether a polygon's box (``bounds``) and a tile's box meet; touching counts."""
+    return (box["max_x"] >= tx) & (box["min_x"] <= tx + width) & (box["max_y"] >= ty) & (box["min_y"] <= ty + height)
 
 
 def tiles_by_join(images: DataFrame, shapes: DataFrame, tile: int = 512, overlap: int = 64, keys: tuple[str, ...] = ("image_id",)) -> DataFrame:
-    """Shapes with the tiles that they touch: an equi-join on the page, then the range test."""
-    grid = tile_grid(images, tile, overlap)
+    """Shapes with the tiles that they touch: an equi-join on the page, then the range test.
+
+    Spark takes the grid to be as small as the pages that it is made of, and would
+    collect it on the driver to broadcast it, so the join is told to sort and merge.
+    """
+    grid = tile_grid(images, tile, overlap).hint("merge")
+    # Each shape's box is found once, not again for each tile of its page.
+    boxed = shapes.withColumn("__box", G.bounds(F.col("polygon")))
     side = F.lit(tile)
-    return grid.join(shapes, list(keys)).where(overlaps(F.col("polygon"), F.col("tx"), F.col("ty"), side, side))
+    return grid.join(boxed, list(keys)).where(overlaps(F.col("__box"), F.col("tx"), F.col("ty"), side, side)).drop("__box")
 
 
 def _hits(low: Column, high: Column, extent: Column, tile: int, stride: int, closed_edge: bool) -> Column:
