@@ -196,6 +196,16 @@ def test_bpe_equals_the_library(spark, docs, hard, empty):
     assert piece_bpe.piece_bpe_encode(empty, PIECES).count() == 0
 
 
+def test_decoded_text_is_made_of_the_ids():
+    t = piece_bpe.PieceBpe(PIECES)
+    t.piece = np.where(t.piece < 0, t.piece, t.library.piece_to_id("▁the"))  # any piece is this one now
+    texts = ["some other words", "a  b", "é 日本 🙂🙂", ""]
+    for text, (n, ids, decoded) in zip(texts, t.digests(texts)):
+        own = list(map(int, ids.split(" ")))
+        assert len(own) == n and decoded == t.library.decode(own)
+        assert (decoded == text) == (text == "")
+
+
 # op5 ------------------------------------------------------------------------------------------------------------
 
 
