@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.llm.common import configure, cut, semi_join, table
+from tilewright.llm.common import configure, cut, release, semi_join, table
 
 #: End of a sentence: marks followed by white space, or line ends.
 _END = re.compile(r"(?:[.!?。！？]+[\"')\]]*\s+|[。！？]+|\n+)\s*")
@@ -150,6 +150,7 @@ def run_table(
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(at), b.column(1).take(at), *columns], names=["id", "th", "first", "last", "h", "more"]
             )
+        release()
 
     slim = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("th"), F.col(text_col).alias("text"))
     return slim.mapInArrow(run, f"id {kind}, th long, first int, last int, h long, more int")
@@ -191,6 +192,7 @@ def _passed(every: DataFrame, bitmap: bytes) -> DataFrame:
                 able &= bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
             if able.any():
                 yield b.filter(pa.array(able))
+        release()
 
     return every.mapInArrow(run, every.schema)
 

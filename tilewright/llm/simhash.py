@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import configure, cut, table
+from tilewright.llm.common import configure, cut, release, table
 from tilewright.llm.graph import connected_components, forest
 
 #: Seed of XXH64, words in a shingle (fixed values).
@@ -80,6 +80,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(fps.view(np.int64)), *more], names=["id", "fp", "th"][: 2 + len(more)]
             )
+        release()
 
     th = [F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th")] if text_hash else []
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *th)
@@ -253,6 +254,7 @@ def links(distinct: DataFrame, threshold: int = 2, rows: int | None = None) -> D
         nodes = np.array(list({*parent, *parent.values()}), dtype=np.uint64)
         roots = np.array([_find(parent, int(x)) for x in nodes], dtype=np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in forest(nodes, roots)], names=["a", "b"])
+        release()
 
     # Parts for what the replicas will be, not for the few fingerprints that they are made of.
     n = distinct.count() if rows is None else rows

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import configure, table
+from tilewright.llm.common import configure, release, table
 
 #: Lengths of n-grams, bits of their hash, weight of a feature before any text has it.
 GRAMS, HASH_BITS, ALPHA = (3, 4, 5), 18, 1.0
@@ -173,6 +173,7 @@ def feature_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(some.astype(np.int32)), pa.array(has[1, some]), pa.array(has[0, some])], names=["feature", "toxic", "clean"]
         )
+        release()
 
     counted = rows.select("text", "toxic").mapInArrow(run, "feature int, toxic long, clean long")
     summed = counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -204,6 +205,7 @@ def sampled(rows: DataFrame, sample: int, ratio: np.ndarray) -> tuple[list[np.nd
                 [b.column(0), b.column(2), pa.array(map(len, found), pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())],
                 names=["key", "toxic", "n", "features"],
             )
+        release()
 
     # Numbers only, in the executors' shared folder, so that the bound is known before they are fetched.
     each = table(some.mapInArrow(run, "key long, toxic int, n long, features binary"), "toxicity-sample")
@@ -246,6 +248,7 @@ def scorer(docs: DataFrame, model: Model):
         own = pickle.loads(shared.value)
         for texts in batches:
             yield pd.Series([own.score(t) for t in texts], dtype="float64")
+        release()
 
     return F.pandas_udf(score, "double")
 
